@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -48,5 +49,27 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def ship(spark: SparkSession) -> None:
+    """Give this package to the executors, once per Spark context, so that Python workers can import it."""
+    sc = spark.sparkContext
+    if getattr(sc, "_textloom_shipped", False):
+        return
+    base = os.path.dirname(os.path.abspath(__file__))
+    made = os.path.join(tempfile.mkdtemp(prefix="textloom-"), "textloom.zip")
+    with zipfile.ZipFile(made, "w") as z:
+        for folder, _, names in os.walk(base):
+            for n in names:
+                if not n.endswith(".pyc"):
+                    z.write(os.path.join(folder, n), os.path.join("textloom", os.path.relpath(os.path.join(folder, n), base)))
+    sc.addPyFile(made)
+    sc._textloom_shipped = True
+
+
+def map_pandas(df: DataFrame, f, schema: str) -> DataFrame:
+    """``mapInPandas`` with this package importable in the workers."""
+    ship(df.sparkSession)
+    return df.mapInPandas(f, schema)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
