@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from ..session import table
-from . import cross_split
+from . import cross_split, pairs
 
 INT = "interaction_examples"
 
@@ -16,5 +16,9 @@ def p1_report(spark, d):
     return cross_split.cross_split_report(table(spark, d, INT), "interaction_id", "raw_input", "split", "data_origin")
 
 
-QUERIES = {"p1_found": p1_found, "p1_report": p1_report}
+def p2_found(spark, d):
+    return pairs.pair_defects(table(spark, d, INT), "interaction_id", "raw_input", "assistant_output").withColumnRenamed("id", "interaction_id")
+
+
+QUERIES = {"p2_found": p2_found, "p1_found": p1_found, "p1_report": p1_report}
 ORACLE: dict[str, str] = {}
