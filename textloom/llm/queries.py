@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from ..session import table
-from . import cross_split, pairs
+from . import cross_split, pairs, splitting
 
 INT = "interaction_examples"
 
@@ -20,5 +22,16 @@ def p2_found(spark, d):
     return pairs.pair_defects(table(spark, d, INT), "interaction_id", "raw_input", "assistant_output").withColumnRenamed("id", "interaction_id")
 
 
-QUERIES = {"p2_found": p2_found, "p1_found": p1_found, "p1_report": p1_report}
-ORACLE: dict[str, str] = {}
+def p3_found(spark, d):
+    """Chunks that come out in more than one piece."""
+    pieces = splitting.split_texts(table(spark, d, "reference_chunks"), "chunk_id", "text", whole=False)
+    return pieces.where("n_pieces > 1").select(F.col("id").alias("chunk_id")).distinct()
+
+
+def p3_pieces(spark, d):
+    pieces = splitting.split_texts(table(spark, d, "reference_chunks"), "chunk_id", "text")
+    return pieces.withColumnRenamed("id", "chunk_id")
+
+
+QUERIES = {"p3_found": p3_found, "p3_pieces": p3_pieces, "p2_found": p2_found, "p1_found": p1_found, "p1_report": p1_report}
+ORACLE: dict[str, str] = {"p3_found": "SELECT DISTINCT chunk_id FROM reference_chunks WHERE length(text) > 1200"}
