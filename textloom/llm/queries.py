@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..session import table
-from . import cross_split, pairs, splitting
+from . import cross_split, pairs, site_lines, splitting
 
 INT = "interaction_examples"
 
@@ -33,5 +33,32 @@ def p3_pieces(spark, d):
     return pieces.withColumnRenamed("id", "chunk_id")
 
 
-QUERIES = {"p3_found": p3_found, "p3_pieces": p3_pieces, "p2_found": p2_found, "p1_found": p1_found, "p1_report": p1_report}
-ORACLE: dict[str, str] = {"p3_found": "SELECT DISTINCT chunk_id FROM reference_chunks WHERE length(text) > 1200"}
+_PAGES = ("page_id", "content", ["canonical_url", "url"])
+
+
+def p5_found(spark, d):
+    return site_lines.repeated_lines(table(spark, d, "health_pages"), *_PAGES).select(F.col("page").alias("page_id"), "line_no").distinct()
+
+
+def p5_lines(spark, d):
+    """The repeated lines of each site with their counts."""
+    _, excess = site_lines.line_excess(table(spark, d, "health_pages"), *_PAGES)
+    return excess.where("significant and repeated").select("site", "form", "pages", "site_pages", F.round("ratio", 4).alias("ratio"))
+
+
+def p5_clean(spark, d):
+    return site_lines.without_repeated_lines(table(spark, d, "health_pages"), *_PAGES).withColumnRenamed("page", "page_id")
+
+
+QUERIES = {"p5_found": p5_found, "p5_lines": p5_lines, "p5_clean": p5_clean, "p3_found": p3_found, "p3_pieces": p3_pieces, "p2_found": p2_found, "p1_found": p1_found, "p1_report": p1_report}
+_P5 = r"""
+WITH pages AS (
+  SELECT page_id, content, regexp_replace(regexp_replace(lower(regexp_extract(coalesce(canonical_url, url), '//([^/?#]*)', 1)), ':[0-9]+$', ''), '^www\.', '') AS site FROM health_pages),
+lines AS (
+  SELECT page_id, site, i AS line_no, trim(regexp_replace(regexp_replace(lower(l), '[0-9]+', '#', 'g'), '[^\p{L}#]+', ' ', 'g')) AS form
+  FROM (SELECT page_id, site, unnest(string_split(content, chr(10))) AS l, generate_subscripts(string_split(content, chr(10)), 1) AS i FROM pages WHERE content IS NOT NULL)),
+n AS (SELECT site, count(DISTINCT page_id) AS n FROM pages GROUP BY site),
+k AS (SELECT site, form, count(DISTINCT page_id) AS k FROM lines WHERE regexp_matches(form, '\p{L}') GROUP BY ALL)
+SELECT DISTINCT page_id, line_no::INT AS line_no FROM lines JOIN k USING (site, form) JOIN n USING (site) WHERE k >= 4 AND k >= 0.2 * n
+"""
+ORACLE: dict[str, str] = {"p5_found": _P5, "p3_found": "SELECT DISTINCT chunk_id FROM reference_chunks WHERE length(text) > 1200"}
