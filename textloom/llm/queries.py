@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..session import table
-from . import cross_split, pairs, site_lines, splitting
+from . import cross_split, eval_leaks, pairs, site_lines, splitting
 
 INT = "interaction_examples"
 
@@ -50,7 +50,18 @@ def p5_clean(spark, d):
     return site_lines.without_repeated_lines(table(spark, d, "health_pages"), *_PAGES).withColumnRenamed("page", "page_id")
 
 
-QUERIES = {"p5_found": p5_found, "p5_lines": p5_lines, "p5_clean": p5_clean, "p3_found": p3_found, "p3_pieces": p3_pieces, "p2_found": p2_found, "p1_found": p1_found, "p1_report": p1_report}
+def p6_leaks(spark, d):
+    """Evaluation items held by training records, in full or in part."""
+    rows = table(spark, d, INT).where(cross_split.split_side(F.col("split")) == cross_split.TRAIN)
+    return eval_leaks.item_leaks(rows, "interaction_id", ["raw_input", "assistant_output"], table(spark, d, "benchmark_eval_set"), "benchmark_id", "input")
+
+
+def p6_found(spark, d):
+    found = p6_leaks(spark, d).where(F.col("run") >= eval_leaks.WINDOW)
+    return found.select(F.col("item").alias("benchmark_id"), F.col("id").alias("interaction_id")).distinct()
+
+
+QUERIES = {"p6_found": p6_found, "p6_leaks": p6_leaks, "p5_found": p5_found, "p5_lines": p5_lines, "p5_clean": p5_clean, "p3_found": p3_found, "p3_pieces": p3_pieces, "p2_found": p2_found, "p1_found": p1_found, "p1_report": p1_report}
 _P5 = r"""
 WITH pages AS (
   SELECT page_id, content, regexp_replace(regexp_replace(lower(regexp_extract(coalesce(canonical_url, url), '//([^/?#]*)', 1)), ':[0-9]+$', ''), '^www\.', '') AS site FROM health_pages),
