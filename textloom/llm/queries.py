@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..session import table
-from . import cross_split, eval_leaks, pairs, site_lines, splitting
+from . import cross_split, eval_leaks, pairs, personal, site_lines, splitting
 
 INT = "interaction_examples"
 
@@ -61,7 +61,24 @@ def p6_found(spark, d):
     return found.select(F.col("item").alias("benchmark_id"), F.col("id").alias("interaction_id")).distinct()
 
 
-QUERIES = {"p6_found": p6_found, "p6_leaks": p6_leaks, "p5_found": p5_found, "p5_lines": p5_lines, "p5_clean": p5_clean, "p3_found": p3_found, "p3_pieces": p3_pieces, "p2_found": p2_found, "p1_found": p1_found, "p1_report": p1_report}
+#: a key for the checks; users give their own
+_KEY = b"textloom"
+
+
+def p10_spans(spark, d):
+    return personal.personal_spans(table(spark, d, "documents"), "doc_id", "text", table(spark, d, "person_names"))
+
+
+def p10_found(spark, d):
+    return p10_spans(spark, d).select(F.col("id").alias("doc_id"), F.col("kind").alias("pii_type"), "start_pos").distinct()
+
+
+def p10_clean(spark, d):
+    clean = personal.without_personal(table(spark, d, "documents"), "doc_id", "text", _KEY, table(spark, d, "person_names"))
+    return clean.withColumnRenamed("id", "doc_id")
+
+
+QUERIES = {"p10_found": p10_found, "p10_clean": p10_clean, "p6_found": p6_found, "p6_leaks": p6_leaks, "p5_found": p5_found, "p5_lines": p5_lines, "p5_clean": p5_clean, "p3_found": p3_found, "p3_pieces": p3_pieces, "p2_found": p2_found, "p1_found": p1_found, "p1_report": p1_report}
 _P5 = r"""
 WITH pages AS (
   SELECT page_id, content, regexp_replace(regexp_replace(lower(regexp_extract(coalesce(canonical_url, url), '//([^/?#]*)', 1)), ':[0-9]+$', ''), '^www\.', '') AS site FROM health_pages),
