@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..session import table
-from . import cross_split, eval_leaks, pairs, personal, site_lines, splitting
+from . import boilerplate, cross_split, eval_leaks, pairs, personal, site_lines, splitting
 
 INT = "interaction_examples"
 
@@ -78,7 +78,18 @@ def p10_clean(spark, d):
     return clean.withColumnRenamed("id", "doc_id")
 
 
-QUERIES = {"p10_found": p10_found, "p10_clean": p10_clean, "p6_found": p6_found, "p6_leaks": p6_leaks, "p5_found": p5_found, "p5_lines": p5_lines, "p5_clean": p5_clean, "p3_found": p3_found, "p3_pieces": p3_pieces, "p2_found": p2_found, "p1_found": p1_found, "p1_report": p1_report}
+_TITLED = ("page_id", "content", "title", ["canonical_url", "url"])
+
+
+def p7_found(spark, d):
+    return boilerplate.page_furniture(table(spark, d, "health_pages"), *_TITLED).select(F.col("page").alias("page_id"), "line_no").distinct()
+
+
+def p7_main(spark, d):
+    return boilerplate.main_body(table(spark, d, "health_pages"), *_TITLED).withColumnRenamed("page", "page_id")
+
+
+QUERIES = {"p7_found": p7_found, "p7_main": p7_main, "p10_found": p10_found, "p10_clean": p10_clean, "p6_found": p6_found, "p6_leaks": p6_leaks, "p5_found": p5_found, "p5_lines": p5_lines, "p5_clean": p5_clean, "p3_found": p3_found, "p3_pieces": p3_pieces, "p2_found": p2_found, "p1_found": p1_found, "p1_report": p1_report}
 _P5 = r"""
 WITH pages AS (
   SELECT page_id, content, regexp_replace(regexp_replace(lower(regexp_extract(coalesce(canonical_url, url), '//([^/?#]*)', 1)), ':[0-9]+$', ''), '^www\.', '') AS site FROM health_pages),
