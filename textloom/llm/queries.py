@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..session import table
-from . import boilerplate, cross_split, eval_leaks, pairs, personal, site_lines, splitting
+from ..session import checkpointed, table
+from . import boilerplate, cross_split, eval_leaks, mixing, packing, pairs, personal, site_lines, splitting, tokens
 
 INT = "interaction_examples"
 
@@ -89,7 +89,30 @@ def p7_main(spark, d):
     return boilerplate.main_body(table(spark, d, "health_pages"), *_TITLED).withColumnRenamed("page", "page_id")
 
 
-QUERIES = {"p7_found": p7_found, "p7_main": p7_main, "p10_found": p10_found, "p10_clean": p10_clean, "p6_found": p6_found, "p6_leaks": p6_leaks, "p5_found": p5_found, "p5_lines": p5_lines, "p5_clean": p5_clean, "p3_found": p3_found, "p3_pieces": p3_pieces, "p2_found": p2_found, "p1_found": p1_found, "p1_report": p1_report}
+def _sizes(spark, d):
+    return checkpointed(tokens.token_counts(table(spark, d, "documents"), "doc_id", "text", "source"))
+
+
+def p8_packed(spark, d):
+    """Every document's place in the containers of each pack."""
+    return packing.pack_texts(_sizes(spark, d), table(spark, d, "pack_sizes")).withColumnRenamed("id", "doc_id")
+
+
+def p8_report(spark, d):
+    packs = table(spark, d, "pack_sizes")
+    return packing.packing_report(packing.pack_texts(_sizes(spark, d), packs), packs)
+
+
+def p9_mixed(spark, d):
+    """The documents drawn for each slot of each mix."""
+    return mixing.mix_sources(_sizes(spark, d), table(spark, d, "mix_targets"))[0].withColumnRenamed("id", "doc_id")
+
+
+def p9_report(spark, d):
+    return mixing.mix_sources(_sizes(spark, d), table(spark, d, "mix_targets"))[1]
+
+
+QUERIES = {"p8_packed": p8_packed, "p8_report": p8_report, "p9_mixed": p9_mixed, "p9_report": p9_report, "p7_found": p7_found, "p7_main": p7_main, "p10_found": p10_found, "p10_clean": p10_clean, "p6_found": p6_found, "p6_leaks": p6_leaks, "p5_found": p5_found, "p5_lines": p5_lines, "p5_clean": p5_clean, "p3_found": p3_found, "p3_pieces": p3_pieces, "p2_found": p2_found, "p1_found": p1_found, "p1_report": p1_report}
 _P5 = r"""
 WITH pages AS (
   SELECT page_id, content, regexp_replace(regexp_replace(lower(regexp_extract(coalesce(canonical_url, url), '//([^/?#]*)', 1)), ':[0-9]+$', ''), '^www\.', '') AS site FROM health_pages),
