@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from .plans import orphans
+from .plans import orphans, retrieval
 
-FLAGSHIP = "p4_found"
-_MODULES = (orphans,)
+FLAGSHIP = "bm25_topk"
+_MODULES = (orphans, retrieval)
 
 
 def queries() -> dict:
