@@ -170,13 +170,12 @@ def _lists(it, table, n_buckets: int):
             return None
         bucket, side, post = (np.concatenate(x) for x in zip(*held, strict=True))
         key = bucket * 4 + side
-        order = np.argsort(key, kind="stable")
+        order = np.argsort(key << 32 | post["term"])
         key, post = key[order], post[order]
         cut = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1], [True])))
         out = {"bucket": [], "side": [], "entries": []}
         for a, b in zip(cut[:-1], cut[1:], strict=True):
             p = post[a:b]
-            p = p[np.argsort(p["term"], kind="stable")]
             out["bucket"].append(int(key[a] >> 2))
             out["side"].append(int(key[a] & 3))
             out["entries"].append(z.compress(b"".join(np.ascontiguousarray(p[f]).tobytes() for f in _POST.names)))
@@ -269,35 +268,35 @@ def _once(p: np.ndarray) -> np.ndarray:
 def _meet(e: np.ndarray, t: np.ndarray):
     """The pairs of texts that share a term and pass the bounds, by chunks."""
     e, t = _once(e), _once(t)
-    terms, e0, en = np.unique(e["term"], return_index=True, return_counts=True)
-    other, t0, tn = np.unique(t["term"], return_index=True, return_counts=True)
-    both, i, j = np.intersect1d(terms, other, assume_unique=True, return_indices=True)
-    if not len(both):
+    # the training lists by length, so that the partners of a length are one range of a list
+    at = t["term"].astype(np.uint64) << np.uint64(16) | t["n"].astype(np.uint64)
+    order = np.argsort(at, kind="stable")
+    at, t = at[order], t[order]
+    n = e["n"].astype(np.float64)
+    term = e["term"].astype(np.uint64) << np.uint64(16)
+    lo = np.searchsorted(at, term | np.ceil(SAME * n - 1e-6).astype(np.uint64))
+    hi = np.searchsorted(at, term | np.minimum(np.floor(n / SAME + 1e-6), 65535).astype(np.uint64), side="right")
+    size = hi - lo
+    some = np.flatnonzero(size > 0)
+    if not len(some):
         return
-    e0, en, t0, tn = e0[i], en[i].astype(np.int64), t0[j], tn[j].astype(np.int64)
-    # the list pairs in pieces of at most CHUNK pairs
-    step = np.maximum(1, CHUNK // tn)
-    parts = -(-en // step)
-    run = np.repeat(np.arange(len(en)), parts)
-    nth = np.arange(len(run)) - np.repeat(np.cumsum(parts) - parts, parts)
-    e0, en, t0, tn = e0[run] + nth * step[run], np.minimum(step[run], en[run] - nth * step[run]), t0[run], tn[run]
+    e, lo, size = e[some], lo[some], size[some]
     ec, tc = _unpacked(e["counts"], e["q"].astype(np.uint32)), _unpacked(t["counts"], t["q"].astype(np.uint32))
     ei, ti = _ids(e), _ids(t)
-    size = en * tn
+    en, eg, el = e["n"].astype(np.float32), e["g"].astype(np.float32), e["left"].copy()
+    tn, tg, tl = t["n"].astype(np.float32), t["g"].astype(np.float32), t["left"].copy()
     cut = np.flatnonzero(np.diff(np.concatenate(([-1], np.cumsum(size) // CHUNK))))
-    for a, b in zip(cut, [*cut[1:], len(size)], strict=True):
+    cut = np.unique(np.concatenate(([0], cut, [len(size)])))
+    for a, b in zip(cut[:-1], cut[1:], strict=True):
         s = size[a:b]
-        r = np.repeat(np.arange(a, b), s)
-        o = np.arange(int(s.sum())) - np.repeat(np.cumsum(s) - s, s)
-        x, y = e0[r] + o // tn[r], t0[r] + o % tn[r]
-        nx, ny = e["n"][x].astype(np.int32), t["n"][y].astype(np.int32)
-        need = SAME * np.maximum(nx, ny) - 1e-6
-        ok = np.minimum(nx, ny) >= need
-        share = np.where(np.maximum(nx, ny) <= SHORT, SAME, SHARED)
-        ok &= np.minimum(e["left"][x], t["left"][y]) >= np.minimum(share, SHARED) * np.maximum(e["g"][x], t["g"][y]) - 1e-6
-        ok |= np.maximum(nx, ny) == 65535
-        x, y, need = x[ok], y[ok], need[ok]
-        dot = np.minimum(ec[x], tc[y]).sum(axis=1, dtype=np.int64)
+        x = np.repeat(np.arange(a, b), s)
+        y = np.arange(len(x)) + np.repeat(lo[a:b] - (np.cumsum(s) - s), s)
+        # what is left of either vector must reach the dot product still missing
+        long = np.maximum(en[x], tn[y])
+        ok = np.minimum(el[x], tl[y]) >= SHARED * np.maximum(eg[x], tg[y]) - 1e-3
+        ok |= long == 65535
+        x, y, need = x[ok], y[ok], SAME * long[ok] - 1e-3
+        dot = np.minimum(ec[x], tc[y]).sum(axis=1, dtype=np.uint32)
         ok = dot >= need
         yield ei[x[ok]], ti[y[ok]]
 
@@ -324,13 +323,19 @@ def _pairs(it):
     yield from done(sides)
 
 
-def _members(it):
+def _members(it, wanted):
+    """The rows with words, or with ``wanted`` only those of the classes in it."""
+    only = set(wanted.value.tolist()) if wanted is not None else None
     for pdf in it:
         ws = _batch_words(pdf["text"])
-        keep = np.array([bool(w) for w in ws], bool)
-        ws = [w for w in ws if w]
-        keys = [class_key(w) for w in ws]
-        out = pdf[keep][["id", "side", "label", "origin"]].reset_index(drop=True)
+        keys = [class_key(w) if w else None for w in ws]
+        keep = np.array([k is not None and (only is None or k[0] >> 24 in only) for k in keys], bool)
+        ws = [w for w, k in zip(ws, keep, strict=True) if k]
+        keys = [w for w, k in zip(keys, keep, strict=True) if k]
+        if not keys:
+            continue
+        # plain objects: a filtered Arrow column may come in several chunks or none
+        out = pd.DataFrame({c: [x for x, k in zip(pdf[c].tolist(), keep, strict=True) if k] for c in ("id", "side", "label", "origin")}).astype({"side": "int32"})
         out["short"] = np.array([k[0] >> 24 for k in keys], np.int64)
         out["k"] = [b"%016x%016x" % k for k in keys]
         out["words"] = [" ".join(w) for w in ws]
@@ -360,8 +365,9 @@ def _score(it):
                 ga, gb = ({tuple(v[j : j + GRAM]) for j in range(len(v) - GRAM + 1)} for v in (a, b))
                 dot = len(ga & gb)
             dots.append(dot / np.sqrt(len(ga) * len(gb)) if ga and gb else 0.0)
-        out = pdf[["a", "b"]].assign(cosine=np.array(dots, float), same=np.array(orders, float))
-        yield out[out["same"] >= SAME - 1e-9]
+        rows = [r for r in zip(pdf["a"].tolist(), pdf["b"].tolist(), dots, orders, strict=True) if r[3] >= SAME - 1e-9]
+        if rows:
+            yield pd.DataFrame(rows, columns=["a", "b", "cosine", "same"]).astype({"cosine": "float64", "same": "float64"})
 
 
 def cross_split_links(df: DataFrame, id_col: str, text_col: str, split_col: str, origin_col: str | None = None) -> tuple[DataFrame, DataFrame]:
@@ -384,9 +390,12 @@ def cross_split_links(df: DataFrame, id_col: str, text_col: str, split_col: str,
     pairs = map_pandas(lists.repartition(n, "bucket").sortWithinPartitions("bucket"), _pairs, "eval_class long, train_class long").distinct()
     pairs = checkpointed(pairs)
     wanted = pairs.select(F.explode(F.array("eval_class", "train_class")).alias("short")).distinct()
+    schema = "id string, side int, label string, origin string, short long, k string, words string"
     if wanted.count() <= BROADCAST_ROWS:
-        wanted = F.broadcast(wanted)
-    members = map_pandas(rows, _members, "id string, side int, label string, origin string, short long, k string, words string").join(wanted, "short", "left_semi")
+        few = spark.sparkContext.broadcast(np.array([r[0] for r in wanted.collect()], np.int64))
+        members = map_pandas(rows, partial(_members, wanted=few), schema)
+    else:
+        members = map_pandas(rows, partial(_members, wanted=None), schema).join(wanted, "short", "left_semi")
     members = checkpointed(members)
     texts = members.groupBy("k").agg(F.first("short").alias("short"), F.first("words").alias("words"), F.max((F.col("side") == EVAL).cast("int")).alias("is_eval"), F.max((F.col("side") == TRAIN).cast("int")).alias("is_train"))
     a = texts.where("is_eval = 1").select(F.col("short").alias("eval_class"), F.col("k").alias("a"), F.col("words").alias("a_words"))
