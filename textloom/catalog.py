@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from .plans import orphans, retrieval
+from .plans import curation, orphans, retrieval, texts
 
 FLAGSHIP = "bm25_topk"
-_MODULES = (orphans, retrieval)
+_MODULES = (orphans, retrieval, texts, curation)
 
 
 def queries() -> dict:

@@ -6,6 +6,7 @@ from ..functions import text as T
 from ..operators import chunking as C
 from ..operators import retrieval as R
 from ..session import table
+from .sql import plain_trim
 
 
 def _docs(spark, d):
@@ -148,3 +149,4 @@ ORACLE = {
     "corpus_index": _CORPUS + "SELECT chunk_id, source_title, source_type, domain_group, topic_tags, claim_summary, safety_relevance, trainability FROM corpus",
     "validation_matrix": _CORPUS + "SELECT chunk_id, source_title, evidence_strength, license_status, validation_status, notes FROM corpus",
 }
+ORACLE = {k: plain_trim(q) for k, q in ORACLE.items()}
