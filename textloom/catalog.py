@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from .plans import curation, orphans, retrieval, texts
+from .plans import curation, features, orphans, retrieval, texts
 
 FLAGSHIP = "bm25_topk"
-_MODULES = (orphans, retrieval, texts, curation)
+_MODULES = (orphans, retrieval, texts, curation, features)
 
 
 def queries() -> dict:
