@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from .plans import curation, features, orphans, retrieval, texts
+from .plans import curation, extras, features, orphans, retrieval, texts
 
 FLAGSHIP = "bm25_topk"
-_MODULES = (orphans, retrieval, texts, curation, features)
+_MODULES = (orphans, retrieval, texts, curation, features, extras)
 
 
 def queries() -> dict:
