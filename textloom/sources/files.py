@@ -52,10 +52,8 @@ def text_lines(spark: SparkSession, path: str, comment: str | None = None) -> Da
 
 def whole_files(spark: SparkSession, path: str, glob: str | None = None, limit: int | None = None) -> DataFrame:
     """(path, text) in the order of the paths."""
-    reader = spark.read.option("wholetext", True)
-    if glob:
-        reader = reader.option("pathGlobFilter", glob)
-    rows = reader.text(path).select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("text"))
+    reader = spark.read.option("pathGlobFilter", glob) if glob else spark.read
+    rows = reader.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("text"))
     return rows.orderBy("path").limit(limit) if limit else rows
 
 
