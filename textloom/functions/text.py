@@ -70,17 +70,22 @@ def sentences(c: Column) -> Column:
     return F.filter(parts, lambda s: s != "")
 
 
+def let(value: Column, body) -> Column:
+    """``body(value)`` with the value computed once: inside a lambda an outer expression is computed per element."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 def distinct_ignoring_case(items: Column) -> Column:
     """The first of each group of strings equal but for case, in order."""
-    low = F.transform(items, lambda s: F.lower(s))
-    return F.filter(items, lambda s, i: F.array_position(low, F.lower(s)) == i + 1)
+
+    def first_places(low: Column) -> Column:
+        return F.filter(items, lambda s, i: F.array_position(low, F.element_at(low, i + 1)) == i + 1)
+
+    return let(F.transform(items, lambda s: F.lower(s)), first_places)
 
 
 def matches_any(c: Column, patterns: Sequence[str]) -> Column:
-    hit = F.lit(False)
-    for p in patterns:
-        hit = hit | c.rlike(p)
-    return hit
+    return c.rlike("|".join(f"(?:{p})" for p in patterns)) if patterns else F.lit(False)
 
 
 def contains_any(c: Column, phrases: Sequence[str]) -> Column:
@@ -91,12 +96,15 @@ def contains_any(c: Column, phrases: Sequence[str]) -> Column:
 
 def clean(c: Column, drop: Sequence[str] = DROP_PATTERNS, templates: Sequence[str] = TEMPLATE_PATTERNS, names: Sequence[str] = ()) -> Column:
     """Struct(text, removed): sentences dropped by pattern, template or repetition; a text that would vanish stays."""
-    all_ = sentences(c)
-    kept = F.filter(all_, lambda s: ~(matches_any(s, drop) | matches_any(s, templates) | contains_any(s, names)))
-    once = distinct_ignoring_case(kept)
-    joined = F.trim(F.regexp_replace(F.array_join(once, " "), r"\s{2,}", " "))
-    text = F.when(F.size(once) == 0, F.trim(c)).otherwise(joined)
-    return F.struct(text.alias("text"), (F.size(all_) - F.size(once)).alias("removed"))
+    def joined(once: Column) -> Column:
+        text = F.trim(F.regexp_replace(F.array_join(once, " "), r"\s{2,}", " "))
+        return F.struct(F.when(F.size(once) == 0, F.trim(c)).otherwise(text).alias("text"), F.size(once).alias("kept"))
+
+    def cleaned(all_: Column) -> Column:
+        kept = F.filter(all_, lambda s: ~(matches_any(s, drop) | matches_any(s, templates) | contains_any(s, names)))
+        return let(let(distinct_ignoring_case(kept), joined), lambda x: F.struct(x["text"].alias("text"), (F.size(all_) - x["kept"]).alias("removed")))
+
+    return let(sentences(c), cleaned)
 
 
 def strip_fragments(c: Column, fragments: Sequence[str]) -> Column:

@@ -8,10 +8,11 @@ from pyspark.sql import functions as F
 from ..functions.text import domain_of_name, first_line, slug
 
 MAX_CHARS = 1200
+BLANKS = " \t\n\r\x0b\x0c"
 
 
 def paragraphs(c: Column, separator: str = "\n\n") -> Column:
-    return F.filter(F.transform(F.split(c, separator), lambda p: F.trim(p)), lambda p: p != "")
+    return F.filter(F.transform(F.split(c, separator), lambda p: F.btrim(p, F.lit(BLANKS))), lambda p: p != "")
 
 
 def pack_paragraphs(items: Column, max_chars: int = MAX_CHARS) -> Column:

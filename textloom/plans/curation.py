@@ -234,7 +234,7 @@ _RULES = {
     "abstain_due_to_uncertainty": "contains(low, 'unknown') OR contains(low, 'not sure')",
 }
 _LABELS = " AND ".join(f"(NOT list_contains(expected_labels, '{k}') OR {v})" for k, v in _RULES.items())
-_CHUNKED = r""", items AS (SELECT source_id, content_sha1, page_title, list_filter(list_transform(string_split(raw_text, chr(10)), lambda x: trim(x)), lambda x: x <> '') AS items FROM new JOIN ids USING (page_url)),
+_CHUNKED = r""", items AS (SELECT source_id, content_sha1, page_title, list_filter(list_transform(string_split(raw_text, chr(10)), lambda x: trim(x, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13))), lambda x: x <> '') AS items FROM new JOIN ids USING (page_url)),
 walk AS (SELECT *, 1 AS i, 1 AS no, items[1] AS buf, length(items[1]) + 1 AS n FROM items WHERE len(items) > 0
  UNION ALL SELECT source_id, content_sha1, page_title, items, i + 1, CASE WHEN n > 0 AND n + 1 + length(items[i + 1]) > 1200 THEN no + 1 ELSE no END,
   CASE WHEN n > 0 AND n + 1 + length(items[i + 1]) > 1200 THEN items[i + 1] ELSE buf || chr(10) || items[i + 1] END, CASE WHEN n > 0 AND n + 1 + length(items[i + 1]) > 1200 THEN length(items[i + 1]) ELSE n + length(items[i + 1]) + 1 END FROM walk WHERE i < len(items)),

@@ -108,7 +108,7 @@ per AS (SELECT query_id, query_id IN (SELECT query_id FROM h) AS hit, a[1] IS DI
 
 def _chunk_sql(where: str, key: str, prefix: str) -> str:
     return f"""
- p AS (SELECT {key} AS key, list_filter(list_transform(string_split(text, chr(10) || chr(10)), lambda x: trim(x)), lambda x: x <> '') AS items FROM documents WHERE {where} AND text IS NOT NULL),
+ p AS (SELECT {key} AS key, list_filter(list_transform(string_split(text, chr(10) || chr(10)), lambda x: trim(x, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13))), lambda x: x <> '') AS items FROM documents WHERE {where} AND text IS NOT NULL),
  walk AS (
   SELECT key, items, 1 AS i, 1 AS chunk_no, items[1] AS buf, length(items[1]) + 1 AS n, false AS flushed FROM p WHERE len(items) > 0
   UNION ALL
