@@ -34,6 +34,8 @@ _AT = r"(?:\s?[\[({<]\s?(?:at|AT|@|arroba|aroba)\s?[\])}>]\s?|\s?[@＠﹫]\s?|\s
 _DOT = r"(?:\s?[\[({]\s?(?:dot|DOT|punto|punkt|point|\.)\s?[\])}]\s?|\s(?:dot|DOT|punto|punkt|point)\s|[.．。])"
 _ATOM = r"[A-Za-z0-9ａ-ｚＡ-Ｚ０-９À-ÿ](?:[A-Za-z0-9ａ-ｚＡ-Ｚ０-９À-ÿ_%+\-']*[A-Za-z0-9ａ-ｚＡ-Ｚ０-９À-ÿ])?"
 EMAIL = re.compile(rf"(?<![\w.+%-]){_ATOM}(?:[.．_]{_ATOM}|{_DOT}(?=\S+{_AT}){_ATOM})*{_AT}(?:{_ATOM}{_DOT})+[A-Za-zａ-ｚＡ-Ｚ]{{2,24}}(?![\w@])")
+#: what every address has: a quick test before the full pattern
+_AT_SOME = re.compile(r"[@＠﹫]|[\[({<]\s?(?:at|AT|arroba|aroba)\b|\s(?:at|AT|arroba)\s[^\s.．。]+(?:[.．。]\w|\s?[\[({]?\s?(?:dot|DOT|punto|punkt|point)\b)")
 _SPELLED = re.compile(r"\sat\s", re.I)
 
 # -- numbers
@@ -114,7 +116,7 @@ class Finder:
         def free(a, b):
             return all(b <= x or y <= a for x, y, _ in taken)
 
-        if "@" in text or "＠" in text or "﹫" in text or "at" in text.lower() or "arroba" in text:
+        if _AT_SOME.search(text):
             for m in EMAIL.finditer(text):
                 if _SPELLED.search(m[0]) and not any(c in m[0] for c in "@＠") and not re.search(r"\sdot\s|\.[A-Za-z]{2,}$|[\[(]\s?dot", m[0], re.I):
                     continue
