@@ -39,7 +39,7 @@ from .common import WordHashes, lcs_length, mix, words
 
 SAME = 0.8  #: share of the longer text's words that must stand in the other, in order
 SHARED = 0.5  #: share of the larger shingle set that must be shared
-GRAM, LONG, SHORT = 3, 20, 24
+GRAM, LONG, SHORT = 3, 38, 48
 BUCKETS = 48
 TABLE = 1 << 20  #: places of the frequency table
 LIST = 1 << 16
