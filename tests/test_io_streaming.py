@@ -133,3 +133,36 @@ def test_cap_and_upkeep_streams(spark, tmp_path):
     spark.createDataFrame([("k", 1, 0), ("j", 1, 0), ("j", 0, 1)], "key string, refs long, exist long").write.parquet(f"{tmp_path}/d")
     T.keep_reference_counts(spark.readStream.schema("key string, refs long, exist long").parquet(f"{tmp_path}/d"), f"{tmp_path}/state")
     assert [r["key"] for r in current_orphans(K.current_version(spark, f"{tmp_path}/state")).collect()] == ["k"]
+
+
+def test_pipeline_orders_steps_and_keeps_versions(spark, tmp_path):
+    from textloom.plans.pipeline import Step, run
+
+    steps = [Step("c", ("b", "x"), lambda b, x: b.join(x, "id")), Step("b", ("x",), lambda x: x.where("id > 1"))]
+    got = run(steps, {"x": spark.range(4)}, f"{tmp_path}/p")
+    assert sorted(r["id"] for r in got["c"].collect()) == [2, 3]
+    assert sorted(os.listdir(f"{tmp_path}/p")) == ["b", "c"]
+    with pytest.raises(KeyError):
+        run([Step("c", ("nothing",), lambda n: n)], {})
+
+
+def test_articles_become_sources_and_candidates(spark):
+    from textloom.operators.curation import article_rows, first_and_last, last_per_key
+
+    articles = spark.createDataFrame([("1", "T", "An abstract."), ("2", None, None), ("3", "K", None)], "name string, title string, abstract string")
+    sources, made = article_rows(articles, spark.createDataFrame([("PMC_3",)], "source_id string"))
+    assert {r["source_id"]: r["title"] for r in sources.collect()} == {"PMC_1": "T", "PMC_2": "Untitled"}
+    assert {r["raw_input"] for r in made.collect()} == {"Summarize: An abstract.", "Summarize the article: Untitled"}
+    df = spark.createDataFrame([("a", 1, "x"), ("a", 2, "y"), ("b", 1, None)], "k string, o int, v string")
+    assert {tuple(r) for r in last_per_key(df, [F.col("k")], [F.col("o")]).collect()} == {("a", 2, "y"), ("b", 1, None)}
+    assert [r["value"] for r in first_and_last(spark.range(9), "id", 2, 1).collect()] == [0, 1, 8]
+
+
+def test_search_hits(spark):
+    from textloom.functions.web import path_allowed, search_hits
+
+    df = spark.createDataFrame([(["/123/", "/about", "/wiki/Sleep", "/wiki/Special:All", "/123/", "/456"],)], "l array<string>")
+    row = df.select(search_hits(F.col("l"), "article", 5).alias("a"), search_hits(F.col("l"), "wiki", 5).alias("w")).first()
+    assert row["a"] == ["/123/", "/456"] and row["w"] == ["/wiki/Sleep"]
+    urls = spark.createDataFrame([("https://www.nhs.uk/conditions/x",), ("https://www.nhs.uk/other/x",), ("https://a.example/thyroid",)], "u string")
+    assert [r[0] for r in urls.select(path_allowed(F.col("u"))).collect()] == [True, False, True]

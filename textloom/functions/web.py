@@ -114,3 +114,33 @@ def absolute(link: Column, base: Column) -> Column:
 
 def is_html(content_type: Column) -> Column:
     return F.contains(F.lower(content_type), F.lit("html"))
+
+
+# Words in a URL that make a page worth reading, and path rules by domain.
+PATH_KEYWORDS = ("women", "reproductive", "pregnancy", "menstrual", "period", "breast", "gyne", "fertility", "sexual", "health-topics", "reproductivehealth", "reproductive-health", "maternal", "menopause", "childbirth", "contraception", "ovulation", "ovulatory", "pcos", "endometriosis", "fibroid", "ovarian", "pid", "sti", "thyroid", "infertility", "amenorrhea", "bleeding", "postpartum", "breastfeeding", "dysmenorrhea", "pelvic", "pain", "uterine")
+PATH_RULES = {
+    "acog.org": (r"^/womens-health/faqs/",),
+    "cdc.gov": (r"^/reproductivehealth/", r"^/contraception/", r"^/pid/", r"^/std/"),
+    "womenshealth.gov": (r"^/menstrual-cycle/", r"^/pregnancy", r"^/menopause/", r"^/health-topics/"),
+    "who.int": (r"^/health-topics/", r"^/news/item/"),
+    "nhs.uk": (r"^/conditions/",),
+    "nice.org.uk": (r"^/guidance/",),
+    "nichd.nih.gov": (r"^/health/topics/",),
+    "medlineplus.gov": (r"^reproductivehealth", r"^/conditions/"),
+    "mayoclinic.org": (r"^/symptoms/", r"^/conditions/"),
+}
+
+
+def path_allowed(url: Column, rules: dict = PATH_RULES, keywords: Sequence[str] = PATH_KEYWORDS) -> Column:
+    """A rule of the URL's domain fits its path, or the URL has one of the keywords."""
+    host, low = domain(url), F.lower(path(url))
+    hit = contains_any(F.lower(url), keywords)
+    for name, patterns in rules.items():
+        hit = hit | (((host == name) | host.endswith(f".{name}")) & low.rlike("|".join(patterns)))
+    return hit
+
+
+def search_hits(links: Column, kind: str, most: int) -> Column:
+    """The first ``most`` distinct results among a search page's links: ``article`` (numeric last part) or ``wiki``."""
+    pattern = {"article": r"/\d+/?$", "wiki": r"/wiki/(?!Special:)"}[kind]
+    return F.slice(F.array_distinct(F.filter(links, lambda x: x.rlike(pattern))), 1, most)

@@ -134,3 +134,29 @@ def fill_missing(df: DataFrame, made: DataFrame, key: str, columns: list[str]) -
     other = made.select(key, *(F.col(c).alias(f"_{c}") for c in columns))
     out = df.join(other, key, "left")
     return out.withColumns({c: F.when(F.coalesce(F.trim(F.col(c)), F.lit("")) == "", F.coalesce(F.col(f"_{c}"), F.col(c))).otherwise(F.col(c)) for c in columns}).drop(*(f"_{c}" for c in columns))
+
+
+def last_per_key(df: DataFrame, keys: list[Column], order: list[Column]) -> DataFrame:
+    """The last row of each key: what a lookup filled row by row holds in the end."""
+    names = [f"_k{i}" for i in range(len(keys))]
+    packed = F.struct(F.struct(*(o.alias(f"_o{i}") for i, o in enumerate(order))).alias("_o"), F.struct(*df.columns).alias("_row"))
+    kept = df.select(*(k.alias(n) for k, n in zip(keys, names, strict=True)), packed.alias("_x")).groupBy(*names).agg(F.max_by("_x._row", "_x._o").alias("_row"))
+    return kept.select("_row.*")
+
+
+def first_and_last(df: DataFrame, column: str, first: int = 5, last: int = 2) -> DataFrame:
+    """(value, end): the smallest and the largest distinct values."""
+    once = df.select(F.col(column).alias("value")).where("value is not null").distinct()
+    a = once.orderBy("value").limit(first).withColumn("end", F.lit("first"))
+    return a.unionByName(once.orderBy(F.desc("value")).limit(last).withColumn("end", F.lit("last")))
+
+
+def article_rows(articles: DataFrame, catalog: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Catalogue rows of articles (name, title, abstract) not known yet, and candidates for review."""
+    key = F.concat(F.lit("PMC_"), F.col("name"))
+    fresh = articles.withColumn("source_id", key).join(catalog.select("source_id").distinct(), "source_id", "left_anti")
+    title = F.coalesce("title", F.lit("Untitled"))
+    sources = fresh.select("source_id", title.alias("title"), F.lit("full_text_xml").alias("document_type"), F.lit("retrieval_only").alias("license_status"))
+    asked = F.when(F.col("abstract").isNotNull(), F.concat(F.lit("Summarize: "), F.substring("abstract", 1, 500))).otherwise(F.concat(F.lit("Summarize the article: "), title))
+    made = fresh.select("source_id", asked.alias("raw_input"), F.substring(title, 1, 180).alias("normalized_case_summary"), F.array("source_id").alias("citations"), F.lit("pending_human_review").alias("review_status"))
+    return sources, made

@@ -114,6 +114,10 @@ def page_links(spark, d):
     return links.select("page_id", F.col("pos").cast("long").alias("pos"), U.without_fragment(U.absolute(F.col("link"), F.col("url"))).alias("target"))
 
 
+def path_filter(spark, d):
+    return table(spark, d, "health_pages").groupBy(U.path_allowed(F.col("url")).alias("allowed")).agg(F.countDistinct("page_id").alias("n"))
+
+
 _WS = r"[ \t\n\x0B\f\r\x85\p{Z}]+"
 _SENT = r"list_filter(list_transform(string_split(regexp_replace(trim({c}), '([.!?])[ \t\n\x0B\f\r]+', '\1' || chr(1), 'g'), chr(1)), lambda x: trim(x)), lambda x: x <> '')"
 _ONCE = "list_filter({s}, lambda x, i: list_position(list_transform({s}, lambda y: lower(y)), lower(x)) = i)"
@@ -133,7 +137,7 @@ def _chain(col: str, rules, default: str) -> str:
 _TOPICS = "list_filter([" + ", ".join("CASE WHEN " + " OR ".join(f"contains(a, {_q(p)})" for p in ps) + f" THEN {_q(v)} END" for v, ps in T.TOPICS) + "], lambda x: x IS NOT NULL)"
 _DOM = "replace(lower(split_part(split_part(regexp_replace(split_part(url, '#', 1), '^.*://', ''), '/', 1), '?', 1)), 'www.', '')"
 _BLOCK = " OR ".join(f"contains(lower(url), {_q(b)})" for b in U.BLOCKED) + " OR ends_with(url, '#')"
-QUERIES = {f.__name__: f for f in (normalize_ws, slugify, strip_tags, sentence_split, sentence_dedup, clean_text, first_lines, license_norm, topic_infer, org_infer, name_domain, url_canonical, url_host, url_filter, host_counts, host_allowed, host_cap_first_n, page_fields, page_links)}
+QUERIES = {f.__name__: f for f in (normalize_ws, slugify, strip_tags, sentence_split, sentence_dedup, clean_text, first_lines, license_norm, topic_infer, org_infer, name_domain, url_canonical, url_host, url_filter, host_counts, host_allowed, host_cap_first_n, page_fields, page_links, path_filter)}
 ORACLE = {
     "normalize_ws": f"SELECT DISTINCT page_id, md5(trim(regexp_replace(content, '{_WS}', ' ', 'g'))) AS text_md5 FROM health_pages",
     "slugify": "SELECT doc_id, regexp_replace(regexp_replace(lower(title), '[^a-z0-9]+', '_', 'g'), '^_+|_+$', '', 'g') AS slug FROM documents",
@@ -152,6 +156,7 @@ ORACLE = {
     "host_counts": f"SELECT {_DOM} AS host, count(DISTINCT page_id) AS n FROM health_pages GROUP BY 1 ORDER BY n DESC, host LIMIT 5",
     "host_allowed": f"SELECT DISTINCT page_id FROM health_pages WHERE regexp_matches({_DOM}, '(^|[.])(org[.]example|health[.]example|test)$')",
     "host_cap_first_n": f"WITH f AS (SELECT page_id, url, fetched_at FROM (SELECT *, row_number() OVER (PARTITION BY page_id ORDER BY fetched_at, url) AS r FROM health_pages) WHERE r = 1), h AS (SELECT {_DOM} AS host, page_id, fetched_at FROM f) SELECT host, page_id FROM (SELECT *, row_number() OVER (PARTITION BY host ORDER BY fetched_at, page_id) AS r FROM h) WHERE r <= 3",
+    "path_filter": "SELECT (" + " OR ".join(f"contains(lower(url), {_q(k)})" for k in U.PATH_KEYWORDS) + ") AS allowed, count(DISTINCT page_id) AS n FROM health_pages GROUP BY 1",
     "page_fields": "SELECT * FROM (VALUES (1::BIGINT, 'Dos partes', 'es', '2021-04-05', 1::BIGINT, 34::BIGINT), (2, 'First head', 'en', '', 1, 39), (3, 'Crawled Page: https://c.example/only', 'en', '', 0, 0)) AS t(page_id, title, language, published, n_paragraphs, content_len)",
     "page_links": "SELECT * FROM (VALUES (1::BIGINT, 0::BIGINT, 'https://a.example:8080/z'), (1, 1, 'https://a.example:8080/x/n?a=b'), (2, 0, 'https://c.example/q')) AS t(page_id, pos, target)",
 }
