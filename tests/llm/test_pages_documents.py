@@ -300,6 +300,8 @@ TEXTS = [
     ("My name is Pavel Viacialez. Nurse Vondbrendez told us how the visit went.", ["name:Pavel Viacialez", "name:Vondbrendez"]),
     ("May brought rain, and hope returned. Until April, rest. A grace period.", []),
     ("Patient: KAZEIL, Zoe; seen twice. I saw B. Vondbrendez last week and felt heard.", ["name:KAZEIL, Zoe", "name:B. Vondbrendez"]),
+    ("Text 891\u2009555\u20090168 to cancel, or +44\u00a07700\u00a0900\u00a0876.", ["phone:891\u2009555\u20090168", "phone:+44\u00a07700\u00a0900\u00a0876"]),
+    ("I live at P.O. Box 803, Hiavgcombe Zoe H. Niskivova told us how it went.", ["address:P.O. Box 803, Hiavgcombe", "name:Zoe H. Niskivova"]),
     ("The Hisby sign and the Thaexton test are named after places.", []),
     ("", []),
 ]

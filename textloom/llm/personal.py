@@ -100,6 +100,12 @@ BLOCK_NAME = re.compile(rf"(?:(?<=\n)|(?<=[.!?)][ ])|^)(?:{TITLES}[ ]+)*({_ONE})
 SLASH_NAME = re.compile(rf"(?:(?<=\n)|(?<=[.!?][ ])|^)(?:{TITLES}[ ]+)*({_ONE})(?=[ ]/[ ])", re.M)
 
 
+# White space, hyphens and full-width forms of other scripts, one character for one.
+_PLAIN = {ord(c): " " for c in "\u00a0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u202f\u205f\u3000"}
+_PLAIN |= {ord(c): "-" for c in "\u2010\u2011\u2012\u2013\u2212\ufe58\ufe63\uff0d"}
+_PLAIN |= {k: chr(k - 0xFEE0) for k in range(0xFF01, 0xFF5F) if k != 0xFF0D}
+
+
 class Finder:
     """Spans (start, end, kind) of one text, in order and without overlap."""
 
@@ -112,6 +118,8 @@ class Finder:
 
     def find(self, text: str) -> list[tuple[int, int, str]]:
         taken: list[tuple[int, int, str]] = []
+        if not text.isascii():
+            text = text.translate(_PLAIN)  # same length, so places stay
 
         def free(a, b):
             return all(b <= x or y <= a for x, y, _ in taken)
@@ -122,8 +130,11 @@ class Finder:
                     continue
                 taken.append((m.start(), m.end(), "email"))
         for m in ADDRESS.finditer(text):
-            if free(m.start(), m.end()):
-                taken.append((m.start(), m.end(), "address"))
+            a, b = m.span()
+            while (w := re.search(rf" ({_CAP})$", text[a:b])) and (w[1] in ORDINARY or w[1].lower() in self.given or w[1].lower() in self.family):
+                b -= len(w[0])  # the running text or a name goes on behind the place
+            if free(a, b):
+                taken.append((a, b, "address"))
         numbers = []
         for m in ID.finditer(text):
             before = text[max(0, m.start() - 40) : m.start()]
