@@ -250,8 +250,7 @@ def test_empty_table(spark):
 
 def test_held_out_tags():
     rows = [(q, a) for _, q, a in many(600)]
-    ends, vocabulary = P.learn_ends([a for _, a in rows[:400]])
-    reader = P.Reader(ends, vocabulary)
+    reader = P.Reader(*P.learn_ends([a for _, a in rows[:400]]))
     data = [(reader.features(q, p)[0], y) for q, p, y in P.examples(rows[:400])]
     field = P.Field.fit(data)
     test = [(reader.features(q, p)[0], y) for q, p, y in P.examples(rows[400:], seed=1)]
