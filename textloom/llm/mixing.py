@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from ..session import checkpointed
 
-SLOTS, RANGES, MAX_TARGETS = 8192, 256, 10_000
+SLOTS, RANGE_ROWS, MOST_RANGES, MAX_TARGETS = 8192, 100_000, 1 << 20, 10_000
 GOLDEN = (5**0.5 - 1) / 2
 
 
@@ -32,14 +32,19 @@ def schedule(shares: list[float], slots: int = SLOTS) -> np.ndarray:
 
 
 def _positions(sizes: DataFrame) -> DataFrame:
-    """(source, id, n_tokens, begin): where each record begins in its shuffled source."""
+    """(source, id, n_tokens, begin): where each record begins in its shuffled source.
+
+    The hash ranges grow in number with the rows, so a range of a source that holds everything has
+    about RANGE_ROWS rows.
+    """
+    ranges = min(MOST_RANGES, max(16, -(-sizes.count() // RANGE_ROWS)))
     h = F.xxhash64(F.col("id"), F.lit(9))
-    rows = sizes.select("source", "id", "n_tokens", h.alias("h"), F.pmod(F.shiftrightunsigned(h, 40), F.lit(RANGES)).alias("range"))
+    rows = sizes.select("source", "id", "n_tokens", h.alias("h"), F.pmod(F.shiftrightunsigned(h, 20), F.lit(ranges)).alias("range"))
     rows = checkpointed(rows.repartition("source", "range"))
     within = Window.partitionBy("source", "range").orderBy("h", "id").rowsBetween(Window.unboundedPreceding, -1)
     rows = rows.withColumn("before", F.coalesce(F.sum("n_tokens").over(within), F.lit(0)))
     totals = rows.groupBy("source", "range").agg(F.sum("n_tokens").alias("t"))
-    over = Window.partitionBy("source").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)  # RANGES rows a source
+    over = Window.partitionBy("source").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)  # one row a range
     totals = totals.select("source", "range", F.coalesce(F.sum("t").over(over), F.lit(0)).alias("offset"))
     return rows.join(totals, ["source", "range"]).select("source", "id", "n_tokens", (F.col("offset") + F.col("before")).alias("begin"))
 
