@@ -42,8 +42,8 @@ def p5_found(spark, d):
 
 def p5_lines(spark, d):
     """The repeated lines of each site with their counts."""
-    _, excess = site_lines.line_excess(table(spark, d, "health_pages"), *_PAGES)
-    return excess.where("significant and repeated").select("site", "form", "pages", "site_pages", F.round("ratio", 4).alias("ratio"))
+    lines, excess = site_lines.line_excess(table(spark, d, "health_pages"), *_PAGES)
+    return site_lines.named(lines, excess.where("significant and repeated")).select("site", "form", "pages", "site_pages", F.round("ratio", 4).alias("ratio"))
 
 
 def p5_clean(spark, d):
@@ -123,4 +123,13 @@ n AS (SELECT site, count(DISTINCT page_id) AS n FROM pages GROUP BY site),
 k AS (SELECT site, form, count(DISTINCT page_id) AS k FROM lines WHERE regexp_matches(form, '\p{L}') GROUP BY ALL)
 SELECT DISTINCT page_id, line_no::INT AS line_no FROM lines JOIN k USING (site, form) JOIN n USING (site) WHERE k >= 4 AND k >= 0.2 * n
 """
-ORACLE: dict[str, str] = {"p5_found": _P5, "p3_found": "SELECT DISTINCT chunk_id FROM reference_chunks WHERE length(text) > 1200"}
+_P5_CLEAN = (
+    _P5.split("SELECT DISTINCT page_id, line_no")[0]
+    + """, bad AS (SELECT site, form FROM k JOIN n USING (site) WHERE k >= 4 AND k >= 0.2 * n),
+texts AS (SELECT DISTINCT page_id, site, content FROM pages),
+cut AS (SELECT page_id, site, content, unnest(string_split(content, chr(10))) AS l, generate_subscripts(string_split(content, chr(10)), 1) AS i FROM texts WHERE content IS NOT NULL),
+marked AS (SELECT *, (site, trim(regexp_replace(regexp_replace(lower(l), '[0-9]+', '#', 'g'), '[^\\p{L}#]+', ' ', 'g'))) IN (SELECT (site, form) FROM bad) AS gone FROM cut)
+SELECT page_id, coalesce(string_agg(l, chr(10) ORDER BY i) FILTER (NOT gone), '') AS text, count_if(gone)::INT AS n_removed FROM marked GROUP BY page_id, site, content
+UNION ALL SELECT page_id, NULL, NULL FROM texts WHERE content IS NULL"""
+)
+ORACLE: dict[str, str] = {"p5_found": _P5, "p5_clean": _P5_CLEAN, "p3_found": "SELECT DISTINCT chunk_id FROM reference_chunks WHERE length(text) > 1200"}

@@ -40,12 +40,20 @@ def line_form(line: Column) -> Column:
     return F.trim(F.regexp_replace(x, r"[^\p{L}#]+", " "))
 
 
+def _keyed(rows: DataFrame) -> DataFrame:
+    """With the two 64-bit hashes that stand for (site, form) and form in shuffles."""
+    return rows.withColumns({"sf": F.xxhash64("site", "form"), "f": F.xxhash64("form", F.lit(7))})
+
+
 def page_lines(df: DataFrame, page_col: str, text_col: str, urls: list[str]) -> DataFrame:
-    """(page, site, line_no, line, form); lines split at ``\\n`` and numbered from 1, blank ones included."""
-    site = site_of(*(F.col(u) for u in urls))
+    """(page, site, line_no, line, form, sf, f); lines split at ``\\n`` and numbered from 1, blank ones included.
+
+    Null sites form one site of their own, with an empty name.
+    """
+    site = F.coalesce(site_of(*(F.col(u) for u in urls)), F.lit(""))
     rows = df.select(F.col(page_col).alias("page"), site.alias("site"), F.col(text_col).alias("text")).where(F.col("text").isNotNull())
     rows = rows.select("page", "site", F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
-    return rows.select("page", "site", (F.col("line_no") + 1).alias("line_no"), "line", line_form(F.col("line")).alias("form"))
+    return _keyed(rows.select("page", "site", (F.col("line_no") + 1).alias("line_no"), "line", line_form(F.col("line")).alias("form")))
 
 
 def _ratio(k1, n1, k2, n2) -> Column:
@@ -81,33 +89,42 @@ def _threshold(tests: DataFrame, rate: float) -> float:
 
 
 def line_excess(df: DataFrame, page_col: str, text_col: str, urls: list[str], min_pages: int = MIN_PAGES, min_share: float = MIN_SHARE, rate: float = FDR) -> tuple[DataFrame, DataFrame]:
-    """(lines, excess): all lines, and (site, form, pages, site_pages, ratio, significant, repeated).
+    """(lines, excess): all lines, and (site, sf, f, pages, site_pages, ratio, significant, repeated).
 
     ``excess`` has the forms with a letter that stand on ``min_pages`` pages of the site or more.
     ``repeated`` means also on ``min_share`` of the site's pages. ``significant`` is the test's answer.
-    Pages without text count as pages of their site. Null sites form one site of their own.
+    Pages without text count as pages of their site. Forms are named by two hashes of 64 bits each,
+    so that no line's text is shuffled.
     """
     site = F.coalesce(site_of(*(F.col(u) for u in urls)), F.lit(""))
     sites = df.select(F.col(page_col).alias("page"), site.alias("site")).distinct().groupBy("site").agg(F.count("page").alias("site_pages"))
-    lines = page_lines(df, page_col, text_col, urls).withColumn("site", F.coalesce("site", F.lit("")))
-    forms = lines.where(F.col("form").rlike(r"\p{L}")).select("site", F.xxhash64("form").alias("h"), "form", "page")
+    sites = checkpointed(sites)
+    lines = page_lines(df, page_col, text_col, urls)
+    forms = lines.where(F.col("form").rlike(r"\p{L}")).select(F.xxhash64("site").alias("s"), "sf", "f", "page")
     # distinct pages of a (site, form): spread by page as well, then counted
-    counts = forms.groupBy("site", "form", "page").agg(F.lit(1).alias("one")).groupBy("site", "form").agg(F.count("one").alias("pages"))
-    counts = checkpointed(counts.join(sites, "site"))
+    counts = forms.groupBy("s", "sf", "f", "page").agg(F.lit(1).alias("one")).groupBy("s", "sf", "f").agg(F.count("one").alias("pages"))
+    counts = counts.join(sites.withColumn("s", F.xxhash64("site")), "s").drop("s")
+    counts = checkpointed(counts)
     repeated = (F.col("pages") >= min_pages) & (F.col("pages") >= min_share * F.col("site_pages") - 1e-9)
-    totals = counts.groupBy("form").agg(F.sum(F.when(~repeated, F.col("pages")).otherwise(0)).alias("stray"))
+    totals = counts.groupBy("f").agg(F.sum(F.when(~repeated, F.col("pages")).otherwise(0)).alias("stray"))
     all_pages = sites.agg(F.sum("site_pages")).first()[0] or 0
-    tests = counts.where(F.col("pages") >= min_pages).join(totals, "form")
+    tests = counts.where(F.col("pages") >= min_pages).join(totals, "f")
     inside, n_in = F.col("pages").cast("double"), F.col("site_pages").cast("double")
     own_stray = F.when(repeated, 0).otherwise(F.col("pages"))
     k_out, n_out = (F.col("stray") - own_stray).cast("double"), F.lit(float(all_pages)) - n_in
-    tests = checkpointed(tests.select("site", "form", "pages", "site_pages", _ratio(inside, n_in, k_out, n_out).alias("ratio"), repeated.alias("repeated")))
+    tests = checkpointed(tests.select("site", "sf", "f", "pages", "site_pages", _ratio(inside, n_in, k_out, n_out).alias("ratio"), repeated.alias("repeated")))
     least = _threshold(tests, rate)
     # A site with no other pages to compare with has nothing outside: its repetition is the evidence.
     alone = F.col("site_pages") >= F.lit(all_pages)
     return lines, tests.withColumn("significant", (F.col("ratio") >= F.lit(least)) | alone)
 
 
+def named(lines: DataFrame, excess: DataFrame) -> DataFrame:
+    """``excess`` with the form's text."""
+    text = lines.join(excess.select("sf", "f"), ["sf", "f"], "left_semi").groupBy("sf", "f").agg(F.first("form").alias("form"))
+    return excess.join(text, ["sf", "f"])
+
+
 def repeated_lines(df: DataFrame, page_col: str, text_col: str, urls: list[str], **kw) -> DataFrame:
     """(page, line_no, site, form): the lines to remove, each page's once.
 
@@ -115,7 +132,8 @@ def repeated_lines(df: DataFrame, page_col: str, text_col: str, urls: list[str],
     come out once per number.
     """
     lines, excess = line_excess(df, page_col, text_col, urls, **kw)
-    return lines.join(excess.where("significant and repeated").select("site", "form"), ["site", "form"]).select("page", "line_no", "site", "form").distinct()
+    bad = excess.where("significant and repeated").select("sf", "f")
+    return lines.join(bad, ["sf", "f"], "left_semi").select("page", "line_no", "site", "form").distinct()
 
 
 def without_repeated_lines(df: DataFrame, page_col: str, text_col: str, urls: list[str], **kw) -> DataFrame:
@@ -130,8 +148,8 @@ def without_repeated_lines(df: DataFrame, page_col: str, text_col: str, urls: li
     pages = pages.withColumn("key", key)
     _, excess = line_excess(df, page_col, text_col, urls, **kw)
     rows = pages.where("text is not null").select("page", "site", "key", F.posexplode(F.split("text", "\n")).alias("line_no", "line")).withColumn("form", line_form(F.col("line")))
-    bad = excess.where("significant and repeated").select("site", "form")
-    kept = rows.join(bad, ["site", "form"], "left_anti").groupBy("page", "site", "key").agg(F.sort_array(F.collect_list(F.struct("line_no", "line"))).alias("l"))
+    bad = excess.where("significant and repeated").select("sf", "f")
+    kept = _keyed(rows).join(bad, ["sf", "f"], "left_anti").groupBy("page", "site", "key").agg(F.sort_array(F.collect_list(F.struct("line_no", "line"))).alias("l"))
     kept = kept.select("page", "site", "key", F.array_join(F.transform("l", lambda x: x["line"]), "\n").alias("kept"), F.size("l").alias("n_kept"))
     n = F.size(F.split("text", "\n"))
     out = pages.join(kept, ["page", "site", "key"], "left")
