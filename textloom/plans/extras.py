@@ -80,6 +80,8 @@ QUERIES = {f.__name__: f for f in (stream_dedup, stream_host_cap, stream_events,
 ORACLE = {
     "stream_dedup": "SELECT DISTINCT sha256(text) AS content_sha256 FROM documents",
     "stream_host_cap": "SELECT host, least(count(*), 5) AS n FROM (SELECT replace(lower(regexp_extract(url, '//([^/?#]*)', 1)), 'www.', '') AS host FROM health_pages) GROUP BY 1",
+    # a window is given out once the latest event is past its end by the lateness allowed
+    "stream_events": "SELECT date_trunc('day', ts) AS window_start, event_type, count(*) AS n, round(sum(value), 4) AS total FROM events GROUP BY ALL HAVING date_trunc('day', any_value(ts)) + INTERVAL 1 DAY <= (SELECT max(ts) FROM events) - INTERVAL 10 MINUTE",
     "events_tumbling": "SELECT date_trunc('day', ts) AS window_start, event_type, count(*) AS n, round(sum(value), 4) AS total FROM events GROUP BY ALL",
     "events_sliding": "SELECT w AS window_start, count(*) AS n, round(sum(value), 4) AS total FROM (SELECT value, unnest([date_trunc('day', ts), date_trunc('day', ts) - INTERVAL 1 DAY]) AS w, ts FROM events) GROUP BY 1",
     "event_sessions": "WITH g AS (SELECT user_id, ts, CASE WHEN lag(ts) OVER w IS NULL OR ts >= lag(ts) OVER w + INTERVAL 12 HOUR THEN 1 ELSE 0 END AS s FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts)), n AS (SELECT *, sum(s) OVER (PARTITION BY user_id ORDER BY ts ROWS UNBOUNDED PRECEDING) AS k FROM g) SELECT user_id, min(ts) AS session_start, count(*) AS n FROM n GROUP BY user_id, k",
