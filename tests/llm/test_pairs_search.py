@@ -109,6 +109,47 @@ def test_long_lists_are_cut_into_a_grid(spark, monkeypatch):
         assert (key[e], key[t]) in pairs
 
 
+def edited_at_random(seed=20):
+    """Pairs with exactly a fifth of the words changed, at random places, some of them of repeated passages."""
+    rng = random.Random(seed)
+    rows = []
+    for n in (60, 100, 200):
+        for k in range(25):
+            text = [rng.choice(WORDS) for _ in range(n)] if k % 5 else [rng.choice(WORDS) for _ in range(n // 4)] * 4
+            rows.append((f"e{n}_{k}", "test", " ".join(text)))
+            for at in rng.sample(range(n), n // 5):
+                text[at] = f"new{at}"
+            rows.append((f"t{n}_{k}", "train", " ".join(text)))
+    return rows
+
+
+def test_a_fifth_changed_at_random_is_found(spark):
+    rows = edited_at_random()
+    df = spark.createDataFrame(rows, "id string, split string, text string")
+    want = brute(rows)
+    assert len(want) >= 75
+    assert {tuple(r) for r in X.cross_split_pairs(df, "id", "text", "split").collect()} == want
+
+
+def test_lists_as_matrices_lose_nothing(monkeypatch):
+    monkeypatch.setattr(X, "DENSE", 1)
+    monkeypatch.setattr(X, "TILE", 8)
+    rows = edited_at_random(21) + corpus(random.Random(9), 60) + [("long1", "test", " ".join(WORDS * 60)), ("long2", "train", " ".join(WORDS * 60 + ["more"]))]
+
+    class Table:
+        value = np.full(X.TABLE, 3, np.uint32)
+
+    side = {"train": 2, "safety_train": 2, "test": 1, "validation": 1}
+    pdf = pd.DataFrame([(side[(s or "").strip().lower()], t) for _, s, t in rows if (s or "").strip().lower() in side], columns=["side", "text"])
+    lists = pd.concat(list(X._lists(iter([pdf]), Table, 5))).sort_values("bucket")
+    pairs = {tuple(map(int, r)) for p in X._pairs(iter([lists])) for r in p.to_numpy()}
+    key = {i: X.class_key(words(t))[0] >> 24 for i, _, t in rows if words(t)}
+    where = {i: side.get((s or "").strip().lower()) for i, s, _ in rows}
+    for a, b in brute(rows):
+        e, t = (a, b) if where[a] == 1 else (b, a)
+        assert (key[e], key[t]) in pairs
+
+
 def test_report_counts_records(spark):
     rows = [("a", "test", "x", "alpha beta gamma delta"), ("b", "train", "x", "alpha beta gamma delta"), ("c", "validation", "y", "Alpha, beta gamma delta"), ("d", "test", "y", "nothing like it at all")]
     df = spark.createDataFrame(rows, "id string, split string, origin string, text string")

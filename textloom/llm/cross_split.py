@@ -2,20 +2,23 @@
 
 A weighted cosine join between the evaluation side and the training side over inverted lists.
 
-*Vectors.* A text of ``LONG`` words or more is the vector of its distinct three-word shingles, a
-text of up to ``SHORT`` words that of its numbered words ("the" the first time, "the" the second
-time); texts in between have both, so that any two texts whose lengths allow a match meet in one
-kind. Weights are 1 over the square root of the number of terms, so a vector has length one. An
-inverse-frequency weight was tried and left out: a few changed rare names then outweigh everything
-that stayed, and no threshold below which nothing is lost follows from the number of changed words.
+*Vectors.* A text is the vector of its numbered words ("the" the first time, "the" the second
+time), whatever its length: words that stand in both texts in order are shared numbered words, so
+the threshold of the definition is one of the vectors and nothing is lost. (Shingles are not used:
+changes at every third word leave none of them.) Weights are 1 over the square root of the number
+of words, so a vector has length one. An inverse-frequency weight was tried and left out: a few
+changed rare names then outweigh everything that stayed, and no threshold below which nothing is
+lost follows from the number of changed words.
 
 *Pruning.* Terms are ordered by rising frequency, counted over all rows in a table of fixed size.
 With equal weights inside a text, the largest weight a partner can have and the norm of what is
-left of a vector give: partners share at least ``t`` of the larger number of terms, hence one of
-the first ``g - ceil(t * g) + 1`` of either; only these are put into the lists. Along a list a pair
+left of a vector give: partners share at least ``t`` of the larger number of words, hence one of
+the first ``n - ceil(t * n) + 1`` of either; only these are put into the lists. Along a list a pair
 is dropped when the lengths differ too much, when what is left of either vector cannot reach the
 dot product still missing, or when a bound of the dot product from 48 packed word counts is too
-small. The pairs that remain are scored exactly: dot product, then longest common subsequence.
+small. Where a list is long on both sides, that bound is first taken for all its pairs as a matrix
+product of the counts in unary. The pairs that remain are scored exactly: dot product, then longest
+common subsequence.
 
 *Skew.* Exact copies in a task enter the lists once, copies from several tasks are united in the
 list. A list that is longer than ``LIST`` is cut into a grid of list pieces. The frequency table
@@ -24,6 +27,7 @@ decides on that and on the order only; it never drops a term.
 
 from __future__ import annotations
 
+from collections import Counter
 from functools import partial
 
 import numpy as np
@@ -38,9 +42,8 @@ from ..session import checkpointed, map_pandas
 from .common import WordHashes, lcs_length, mix, words
 
 SAME = 0.8  #: share of the longer text's words that must stand in the other, in order
-SHARED = 0.5  #: share of the larger shingle set that must be shared
-GRAM, LONG, SHORT = 3, 38, 48
 BUCKETS = 48
+UNARY, TILE, DENSE = 4, 256, 4_000  #: levels of a count, rows of a tile, pairs of a list from which it is a matrix
 TABLE = 1 << 20  #: places of the frequency table
 LIST = 1 << 16
 FLUSH = 500_000
@@ -66,34 +69,16 @@ class _Texts:
         self.w = np.fromiter((hashes[x] for r in rows for x in r), np.uint64, int(self.at[-1]))
         self.doc = np.repeat(np.arange(len(rows)), self.n)
 
-    def terms(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(text, term, kind) of all distinct terms; kind 0 shingles, 1 numbered words."""
-        w, doc = self.w, self.doc
-        long = self.n >= LONG
-        ends = len(w) - (GRAM - 1)
-        out = []
-        if ends > 0:
-            g = np.zeros(ends, np.uint64)
-            for j in range(GRAM):
-                g = mix(g + w[j : j + ends])
-            keep = (doc[:ends] == doc[GRAM - 1 :]) & long[doc[:ends]]
-            out.append((doc[:ends][keep], g[keep], np.zeros(int(keep.sum()), np.int8)))
-        keep = self.n[doc] <= SHORT
-        if keep.any():
-            d, t = doc[keep], w[keep]
-            order = np.lexsort((t, d))
-            d, t = d[order], t[order]
-            new = np.concatenate(([True], (d[1:] != d[:-1]) | (t[1:] != t[:-1])))
-            nth = np.arange(len(d)) - np.maximum.accumulate(np.where(new, np.arange(len(d)), 0))
-            out.append((d, mix(t + np.uint64(0x51ED27) * (nth.astype(np.uint64) + np.uint64(1))), np.ones(len(d), np.int8)))
-        if not out:
-            return np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(0, np.int8)
-        d, t, k = (np.concatenate(x) for x in zip(*out, strict=True))
-        order = np.lexsort((t, k, d))
-        d, t, k = d[order], t[order], k[order]
-        new = np.ones(len(d), bool)
-        new[1:] = (d[1:] != d[:-1]) | (k[1:] != k[:-1]) | (t[1:] != t[:-1])
-        return d[new], t[new], k[new]
+    def terms(self) -> tuple[np.ndarray, np.ndarray]:
+        """(text, term) of all numbered words, by text."""
+        d, t = self.doc, self.w
+        if not len(d):
+            return np.zeros(0, np.int64), np.zeros(0, np.uint64)
+        order = np.lexsort((t, d))
+        d, t = d[order], t[order]
+        new = np.concatenate(([True], (d[1:] != d[:-1]) | (t[1:] != t[:-1])))
+        nth = np.arange(len(d)) - np.maximum.accumulate(np.where(new, np.arange(len(d)), 0))
+        return d, mix(t + np.uint64(0x51ED27) * (nth.astype(np.uint64) + np.uint64(1)))
 
     def packed(self) -> tuple[np.ndarray, np.ndarray]:
         """Counts of the words in BUCKETS hash buckets, rounded up to 15 steps of ``q``: nibbles and q."""
@@ -119,7 +104,7 @@ def _count(it, texts: str):
     """The term counts of a task in the frequency table, as compressed blocks."""
     hashes, table = WordHashes(), np.zeros(TABLE, np.uint32)
     for pdf in it:
-        _, t, _ = _Texts(hashes, _batch_words(pdf[texts])).terms()
+        _, t = _Texts(hashes, _batch_words(pdf[texts])).terms()
         table += np.bincount((t >> np.uint64(44)).astype(np.int64), minlength=TABLE).astype(np.uint32)
     yield from _as_blocks({k: table[k * _BLOCK : (k + 1) * _BLOCK] for k in range(TABLE // _BLOCK)})
 
@@ -152,7 +137,7 @@ def term_counts(rows: DataFrame) -> np.ndarray:
     return table
 
 
-_POST = np.dtype([("term", "<u4"), ("lo", "<u4"), ("hi", "u1"), ("n", "<u2"), ("g", "<u2"), ("left", "<u2"), ("q", "<u2"), ("counts", "u1", BUCKETS // 2)])
+_POST = np.dtype([("term", "<u4"), ("lo", "<u4"), ("hi", "u1"), ("n", "<u2"), ("left", "<u2"), ("q", "<u2"), ("counts", "u1", BUCKETS // 2)])
 
 
 def class_key(ws: list[str]) -> tuple[int, int]:
@@ -200,32 +185,26 @@ def _lists(it, table, n_buckets: int):
         if not ws:
             continue
         t = _Texts(hashes, ws)
-        d, term, kind = t.terms()
-        if not len(d):
-            continue
+        d, term = t.terms()
         f = freq[(term >> np.uint64(44)).astype(np.int64)]
-        group = d * 2 + kind
-        order = np.lexsort((term, f, group))
-        d, term, kind, f, group = d[order], term[order], kind[order], f[order], group[order]
-        first = np.flatnonzero(np.concatenate(([True], group[1:] != group[:-1])))
-        g = np.diff(np.concatenate((first, [len(group)])))
-        at = np.arange(len(group)) - np.repeat(first, g)
-        g = np.repeat(g, g)
-        share = np.where(kind == 0, SHARED, SAME)
-        keep = at <= g - np.ceil(share * g - 1e-9)
-        d, term, kind, f, g, at = d[keep], term[keep], kind[keep], f[keep], g[keep], at[keep]
+        order = np.lexsort((term, f, d))
+        d, term, f = d[order], term[order], f[order]
+        n = t.n[d]
+        at = np.arange(len(d)) - t.at[d]
+        keep = at <= n - np.ceil(SAME * n - 1e-9)
+        d, term, f, n, at = d[keep], term[keep], f[keep], n[keep], at[keep]
         nib, q = t.packed()
         ids, sides = np.array(ids, np.uint64), np.array(sides, np.int64)
         post = np.zeros(len(d), _POST)
-        post["term"] = (mix(term + kind.astype(np.uint64)) & np.uint64(0xFFFFFFFF)).astype(np.uint32)
+        post["term"] = (mix(term) & np.uint64(0xFFFFFFFF)).astype(np.uint32)
         post["lo"], post["hi"] = (ids[d] & np.uint64(0xFFFFFFFF)).astype(np.uint32), (ids[d] >> np.uint64(32)).astype(np.uint8)
         top = 65535
-        post["n"], post["g"], post["left"], post["q"] = np.minimum(t.n[d], top), np.minimum(g, top), np.minimum(g - at, top), np.minimum(q[d], top)
+        post["n"], post["left"], post["q"] = np.minimum(n, top), np.minimum(n - at, top), np.minimum(q[d], top)
         post["counts"] = nib[d]
         side = sides[d]
         # long lists: a grid of pieces, the own piece along one side and all pieces of the other
         pieces = -(-f.astype(np.int64) // LIST)
-        where = mix(term + np.uint64(7) * kind.astype(np.uint64)) >> np.uint64(32)
+        where = mix(term) >> np.uint64(32)
         if (pieces > 1).any():
             own = (mix(ids[d]) >> np.uint64(20)).astype(np.int64) % np.maximum(pieces, 1)
             rep = np.repeat(np.arange(len(d)), np.maximum(pieces, 1))
@@ -265,10 +244,35 @@ def _once(p: np.ndarray) -> np.ndarray:
     return p[np.concatenate(([True], (p["term"][1:] != p["term"][:-1]) | (ids[1:] != ids[:-1])))][::-1] if len(p) else p
 
 
+def _unary(c: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Counts as 0s and 1s whose dot product is the sum of the smaller counts, and what exceeds UNARY."""
+    return (c[:, :, None] > np.arange(UNARY)).reshape(len(c), -1).astype(np.float32), (c.astype(np.int64) - np.minimum(c, UNARY)).sum(axis=1).astype(np.float32)
+
+
+def _near(ec, en, tc, tn, lo, hi):
+    """Pairs (row of e, row of t) of one list, both sides by length, whose word counts allow a match."""
+    base = int(lo.min())
+    tu, trest = _unary(tc[base : int(hi.max())])
+    tneed = (SAME * tn[base : int(hi.max())] - 1e-3).astype(np.float32)
+    for a in range(0, len(ec), TILE):
+        b = min(a + TILE, len(ec))
+        eu, erest = _unary(ec[a:b])
+        eneed = (SAME * en[a:b] - 1e-3).astype(np.float32)[:, None]
+        for c in range(int(lo[a]) - base, int(hi[b - 1]) - base, CHUNK // TILE):
+            k = slice(c, min(c + CHUNK // TILE, int(hi[b - 1]) - base))
+            dot = eu @ tu[k].T
+            if erest.any() and trest[k].any():
+                dot += np.minimum(erest[:, None], trest[k])
+            x, y = np.nonzero((dot >= eneed) & (dot >= tneed[k]))
+            yield x + a, y + base + c
+
+
 def _meet(e: np.ndarray, t: np.ndarray):
     """The pairs of texts that share a term and pass the bounds, by chunks."""
     e, t = _once(e), _once(t)
-    # the training lists by length, so that the partners of a length are one range of a list
+    # the lists by length, so that the partners of a length are one range of a list
+    order = np.argsort(e["term"].astype(np.uint64) << np.uint64(16) | e["n"].astype(np.uint64), kind="stable")
+    e = e[order]
     at = t["term"].astype(np.uint64) << np.uint64(16) | t["n"].astype(np.uint64)
     order = np.argsort(at, kind="stable")
     at, t = at[order], t[order]
@@ -276,29 +280,41 @@ def _meet(e: np.ndarray, t: np.ndarray):
     term = e["term"].astype(np.uint64) << np.uint64(16)
     lo = np.searchsorted(at, term | np.ceil(SAME * n - 1e-6).astype(np.uint64))
     hi = np.searchsorted(at, term | np.minimum(np.floor(n / SAME + 1e-6), 65535).astype(np.uint64), side="right")
-    size = hi - lo
-    some = np.flatnonzero(size > 0)
+    some = np.flatnonzero(hi > lo)
     if not len(some):
         return
-    e, lo, size = e[some], lo[some], size[some]
+    e, lo, hi = e[some], lo[some], hi[some]
     ec, tc = _unpacked(e["counts"], e["q"].astype(np.uint32)), _unpacked(t["counts"], t["q"].astype(np.uint32))
     ei, ti = _ids(e), _ids(t)
-    en, eg, el = e["n"].astype(np.float32), e["g"].astype(np.float32), e["left"].copy()
-    tn, tg, tl = t["n"].astype(np.float32), t["g"].astype(np.float32), t["left"].copy()
-    cut = np.flatnonzero(np.diff(np.concatenate(([-1], np.cumsum(size) // CHUNK))))
-    cut = np.unique(np.concatenate(([0], cut, [len(size)])))
-    for a, b in zip(cut[:-1], cut[1:], strict=True):
-        s = size[a:b]
-        x = np.repeat(np.arange(a, b), s)
-        y = np.arange(len(x)) + np.repeat(lo[a:b] - (np.cumsum(s) - s), s)
+    en, el = e["n"].astype(np.float32), e["left"].copy()
+    tn, tl = t["n"].astype(np.float32), t["left"].copy()
+
+    def passed(x, y):
         # what is left of either vector must reach the dot product still missing
         long = np.maximum(en[x], tn[y])
-        ok = np.minimum(el[x], tl[y]) >= SHARED * np.maximum(eg[x], tg[y]) - 1e-3
-        ok |= long == 65535
+        ok = (np.minimum(el[x], tl[y]) >= SAME * long - 1e-3) | (long == 65535)
         x, y, need = x[ok], y[ok], SAME * long[ok] - 1e-3
         dot = np.minimum(ec[x], tc[y]).sum(axis=1, dtype=np.uint32)
         ok = dot >= need
-        yield ei[x[ok]], ti[y[ok]]
+        return ei[x[ok]], ti[y[ok]]
+
+    size = hi - lo
+    first = np.flatnonzero(np.concatenate(([True], e["term"][1:] != e["term"][:-1])))
+    many = np.add.reduceat(size, first) >= DENSE
+    ends = np.concatenate((first[1:], [len(e)]))
+    for a, b in zip(first[many], ends[many], strict=True):
+        for x, y in _near(ec[a:b], en[a:b], tc, tn, lo[a:b], hi[a:b]):
+            if len(x):
+                yield passed(x + a, y)
+    few = np.flatnonzero(np.repeat(~many, ends - first))
+    lo, size = lo[few], size[few]
+    cut = np.flatnonzero(np.diff(np.concatenate(([-1], np.cumsum(size) // CHUNK))))
+    cut = np.unique(np.concatenate(([0], cut, [len(size)])))
+    for a, b in zip(cut[:-1], cut[1:], strict=True):
+        s = size[a:b]
+        x = np.repeat(few[a:b], s)
+        y = np.arange(len(x)) + np.repeat(lo[a:b] - (np.cumsum(s) - s), s)
+        yield passed(x, y)
 
 
 def _pairs(it):
@@ -353,18 +369,7 @@ def _score(it):
                 orders.append(1.0)
                 continue
             orders.append(lcs_length(a, b) / n)
-            if n <= SHORT:
-                ga, gb = a, b
-                left = list(b)
-                dot = 0
-                for w in a:
-                    if w in left:
-                        left.remove(w)
-                        dot += 1
-            else:
-                ga, gb = ({tuple(v[j : j + GRAM]) for j in range(len(v) - GRAM + 1)} for v in (a, b))
-                dot = len(ga & gb)
-            dots.append(dot / np.sqrt(len(ga) * len(gb)) if ga and gb else 0.0)
+            dots.append((Counter(a) & Counter(b)).total() / np.sqrt(len(a) * len(b)))
         rows = [r for r in zip(pdf["a"].tolist(), pdf["b"].tolist(), dots, orders, strict=True) if r[3] >= SAME - 1e-9]
         if rows:
             yield pd.DataFrame(rows, columns=["a", "b", "cosine", "same"]).astype({"cosine": "float64", "same": "float64"})
