@@ -181,6 +181,25 @@ def test_furniture_of_a_page_and_its_body(spark):
     assert B.page_furniture(frame(spark, rows[:0]), "page_id", "content", "title", ["canonical_url", "url"]).count() == 0
 
 
+def test_furniture_does_not_depend_on_the_blocks_of_a_host(spark, monkeypatch):
+    rows = []
+    for k in range(200):
+        body = f"Page w{k}a tells in its own v{k}b words how x{k}c and y{k}d came to be what they are."
+        notice = "Zebra corner opens soon\nMenu\n" if k % 40 == 0 else f"Own q{k} start r{k} here\nMenu\n"
+        link = f"Tale of moon m{(k + 1) % 200}x"
+        title = f"Tale of moon m{k}x" if k % 2 else None
+        rows.append((k, f"https://large.example/{k}", None, (f"{title}\n" if title else notice) + body + "\n" + link, title))
+    rows += [(k, f"https://large.example/{k}", None, f"Other text {k} " * 9, None) for k in range(3)]
+    want = None
+    for size in (400, 40):
+        monkeypatch.setattr(B, "PAGES", size)
+        got = {tuple(r) for r in B.page_furniture(frame(spark, rows), "page_id", "content", "title", ["canonical_url", "url"]).select("page", "line_no", "kind").collect()}
+        assert {k for k, n, _ in got if n == 1} == {k for k in range(0, 200, 40)}  # the notice on five pages
+        assert {(k, 4 - k % 2, "related") for k in range(0, 200, 2)} <= got  # links to pages with a title
+        assert want is None or got == want
+        want = got
+
+
 # -- problem 8
 
 

@@ -11,9 +11,11 @@ before the title, behind a heading for related links or comments, and behind the
 zones in which a line counts as furniture; in between it needs the wording of a prompt, a byline or
 a notice, or the site's own name.
 
-A host is cut into blocks of about ``PAGES`` pages by a hash of the page; each block is sorted on its
-own. A notice that stands on a fair share of a host's pages stands on many pages of every block, so
-large hosts are spread over tasks without losing it.
+A host of more than ``PAGES`` pages is cut into blocks by a hash of the page, which are sorted each on
+their own. What is counted is counted over the whole host all the same: every block gives its runs
+with their numbers of pages, these are summed by host and run, and each block is told which of its
+runs stand on enough pages of the host (``LEAST_PAGES`` to ``MOST_PAGES``), in whatever block. In the same way it is told which
+of its lines are titles of other pages of the host. The threshold knows nothing of blocks.
 """
 
 from __future__ import annotations
@@ -24,14 +26,17 @@ from functools import lru_cache
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+import xxhash
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import ship
-from .common import fold
+from .common import fold, mix
 from .site_lines import site_of
 
-RUN, PAGES, LEAST_PAGES = 4, 400, 3
+RUN, PAGES = 4, 400
+#: a run is repeated from this many pages on: a fiftieth of a small host's, never more than MOST_PAGES, so that what a large host prints on a small share of its pages is seen
+LEAST_PAGES, MOST_PAGES = 3, 8
 
 _TOKEN = re.compile(r"[^\W_]+|\n")
 _MARK = re.compile(r"^\s*(?:[-–—•*»›▪◦·]|\d{1,2}[.)]|[a-z]\))\s+")
@@ -108,48 +113,78 @@ def sorted_runs(tokens: np.ndarray, pages: np.ndarray, length: int = RUN) -> np.
     return rank
 
 
-def covered(tokens: np.ndarray, pages: np.ndarray, least: int, length: int = RUN) -> np.ndarray:
-    """Which tokens lie in a run of ``length`` tokens that stands on ``least`` distinct pages or more."""
+def page_runs(tokens: np.ndarray, pages: np.ndarray, length: int = RUN) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The places where a run begins, the number of each place's run, and the distinct pages of each number."""
     n = len(tokens)
-    out = np.zeros(n, bool)
     if n < length:
-        return out
-    rank = sorted_runs(tokens, pages, length)
-    whole = np.zeros(n, bool)
-    whole[: n - length + 1] = pages[: n - length + 1] == pages[length - 1 :]
-    at = np.flatnonzero(whole)
-    pairs = np.unique(np.stack((rank[at], pages[at])), axis=1)
-    count = np.bincount(pairs[0], minlength=int(rank.max()) + 1)
-    hit = at[count[rank[at]] >= least]
+        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+    at = np.flatnonzero(pages[: n - length + 1] == pages[length - 1 :])
+    run = sorted_runs(tokens, pages, length)[at]
+    pairs = np.unique(np.stack((run, pages[at])), axis=1)
+    run = np.unique(run, return_inverse=True)[1]
+    return at, run, np.unique(pairs[0], return_counts=True)[1]
+
+
+def _marked(at: np.ndarray, n: int, length: int = RUN) -> np.ndarray:
+    """The tokens of the runs that begin at the places."""
     mark = np.zeros(n + 1, np.int64)
-    np.add.at(mark, hit, 1)
-    np.add.at(mark, hit + length, -1)
+    np.add.at(mark, at, 1)
+    np.add.at(mark, at + length, -1)
     return np.cumsum(mark)[:n] > 0
 
 
-def repeated_line_flags(texts: list[str]) -> list[np.ndarray]:
-    """For each page of a block, which lines are covered from break to break by repeated runs."""
-    ids: dict[str, int] = {}
-    tokens, pages, lines, spans = [], [], [], []
-    for p, t in enumerate(texts):
-        tokens.append(ids.setdefault("\n", len(ids)))
-        pages.append(p)
-        for k, line in enumerate(t.split("\n")):
-            words = re.findall(r"[^\W_]+", fold(line))
-            if not words:
-                continue
-            a = len(tokens) - 1
-            tokens.extend(ids.setdefault(w, len(ids)) for w in words)
-            tokens.append(ids["\n"])
-            pages.extend([p] * (len(words) + 1))
-            lines.append((p, k))
-            spans.append((a, len(tokens)))
-    hit = covered(np.array(tokens, np.int64), np.array(pages, np.int64), max(LEAST_PAGES, len(texts) // 50))
-    total = np.concatenate(([0], np.cumsum(hit)))
-    out = [np.zeros(t.count("\n") + 1, bool) for t in texts]
-    for (p, k), (a, b) in zip(lines, spans, strict=True):
-        out[p][k] = total[b] - total[a] >= 0.9 * (b - a)
-    return out
+def covered(tokens: np.ndarray, pages: np.ndarray, least: int, length: int = RUN) -> np.ndarray:
+    """Which tokens lie in a run of ``length`` tokens that stands on ``least`` distinct pages or more."""
+    at, run, count = page_runs(tokens, pages, length)
+    return _marked(at[count[run] >= least], len(tokens), length)
+
+
+class _Stream:
+    """The pages of a block end to end: tokens, the page of each, and the tokens of each line.
+
+    Texts of one page are one page; the first and last token of each text are line breaks.
+    """
+
+    def __init__(self, texts: list[str], names: list):
+        self.words: dict[str, int] = {}
+        ids, of = self.words, {}
+        tokens, pages, self.lines, spans = [], [], [], []
+        for p, t in enumerate(texts):
+            page = of.setdefault(names[p], len(of))
+            tokens.append(ids.setdefault("\n", len(ids)))
+            pages.append(page)
+            for k, line in enumerate(t.split("\n")):
+                words = re.findall(r"[^\W_]+", fold(line))
+                if not words:
+                    continue
+                a = len(tokens) - 1
+                tokens.extend(ids.setdefault(w, len(ids)) for w in words)
+                tokens.append(ids["\n"])
+                pages.extend([page] * (len(words) + 1))
+                self.lines.append((p, k))
+                spans.append((a, len(tokens)))
+        self.sizes = [t.count("\n") + 1 for t in texts]
+        self.spans = np.array(spans, np.int64).reshape(-1, 2)
+        self.tokens = np.array(tokens, np.int64)
+        self.at, self.run, self.count = page_runs(self.tokens, np.array(pages, np.int64))
+
+    def keys(self) -> np.ndarray:
+        """A hash of each run's words, the same in every block."""
+        of = np.fromiter((xxhash.xxh3_64_intdigest(w) for w in self.words), np.uint64, len(self.words))
+        first = np.zeros(len(self.count), np.int64)
+        first[self.run] = self.at
+        key = np.zeros(len(first), np.uint64)
+        for j in range(RUN):
+            key = mix(key + of[self.tokens[first + j]])
+        return key.view(np.int64)
+
+    def flags(self, known: np.ndarray) -> list[np.ndarray]:
+        """For each text, which lines are covered from break to break by the runs of the known numbers."""
+        total = np.concatenate(([0], np.cumsum(_marked(self.at[known[self.run]], len(self.tokens)))))
+        out = [np.zeros(n, bool) for n in self.sizes]
+        for (p, k), (a, b) in zip(self.lines, self.spans.tolist(), strict=True):
+            out[p][k] = total[b] - total[a] >= 0.9 * (b - a)
+        return out
 
 
 def _kind(line: str) -> str | None:
@@ -173,11 +208,19 @@ def _kind_of(line: str) -> str | None:
 _kind_of_short = lru_cache(maxsize=100_000)(_kind_of)
 
 
+def _low(line: str) -> str:
+    return re.sub(r"\s+", " ", _MARK.sub("", fold(line))).strip().replace("’", "'")
+
+
+def _head(low: str) -> str:
+    return low.split(" – ")[0]
+
+
 def furniture(text: str, title: str | None, repeated: np.ndarray, site: str, titles: set[str]) -> list[tuple[int, str]]:
     """(line number from 1, kind) of the lines of a page that are not its main body."""
     raw = [x.replace("\r", "") for x in text.split("\n")]
     marked = [bool(_MARK.match(x)) for x in raw]
-    low = [re.sub(r"\s+", " ", _MARK.sub("", fold(x))).strip().replace("’", "'") for x in raw]
+    low = [_low(x) for x in raw]
     plain = [_form(x) for x in low]
     name = _form(fold(re.split(r"\.", site)[0]))
     own = {_form(fold(title)), _form(fold(_TITLE_END.sub("", title)))} - {""} if title else set()
@@ -227,7 +270,7 @@ def furniture(text: str, title: str | None, repeated: np.ndarray, site: str, tit
     last = max((k for k in range(n) if paragraph[k] and kinds[k] is None), default=first)
     for k in range(last + 1, n):
         if plain[k] and kinds[k] is None and k != at:
-            head = low[k].split(" – ")[0]
+            head = _head(low[k])
             if _form(head) in titles - own or (_HEADLINE.match(head) and not head.endswith(":")) or (repeated[k] and not marked[k] and not low[k].endswith(":") and _between(kinds, plain, k, n)):
                 kinds[k] = "related"
             elif " – " in low[k] and _SENTENCE.search(low[k]):
@@ -265,10 +308,29 @@ def _between(kinds, plain, k: int, n: int) -> bool:
     return bool(after) and bool(before)
 
 
-def _pages(pdf: pd.DataFrame) -> pd.DataFrame:
+def _title_key(form: str) -> int:
+    return xxhash.xxh3_64_intdigest("title " + form) - (1 << 63)
+
+
+def _titles(pdf: pd.DataFrame) -> set[str]:
+    return {_form(fold(_TITLE_END.sub("", t))) for t in pdf["title"] if isinstance(t, str)} - {""}
+
+
+def _heads(texts: list[str]) -> set[str]:
+    return {_form(_head(_low(x.replace("\r", "")))) for x in {x for t in texts for x in t.split("\n")}} - {""}
+
+
+def _block_keys(pdf: pd.DataFrame) -> pd.DataFrame:
+    """The runs of a block with their pages; its titles, which always count, and the lines that may be titles of others."""
     texts = pdf["text"].tolist()
-    flags = repeated_line_flags(texts)
-    titles = {_form(fold(_TITLE_END.sub("", t))) for t in pdf["title"] if isinstance(t, str)} - {""}
+    stream, titles = _Stream(texts, pdf["page"].tolist()), _titles(pdf)
+    told = {_title_key(t): MOST_PAGES * (t in titles) for t in titles | _heads(texts)}
+    key = np.concatenate((stream.keys(), np.fromiter(told, np.int64, len(told))))
+    pages = np.concatenate((stream.count, np.fromiter(told.values(), np.int64, len(told))))
+    return pd.DataFrame({"site": pdf["site"].iat[0], "block": pdf["block"].iat[0], "least": pdf["least"].iat[0], "key": key, "pages": pages})
+
+
+def _furniture_of(pdf: pd.DataFrame, texts: list[str], flags: list[np.ndarray], titles: set[str]) -> pd.DataFrame:
     rows = []
     for p, t, title, site, f in zip(pdf["page"], texts, pdf["title"], pdf["site"], flags, strict=True):
         key = hashlib.sha256(t.encode("utf-8", "surrogatepass")).hexdigest()
@@ -276,6 +338,21 @@ def _pages(pdf: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame(rows, columns=["page", "text_key", "line_no", "kind"]).astype({"line_no": "int32"})
 
 
+def _pages(pdf: pd.DataFrame) -> pd.DataFrame:
+    """A host of one block."""
+    texts = pdf["text"].tolist()
+    stream = _Stream(texts, pdf["page"].tolist())
+    return _furniture_of(pdf, texts, stream.flags(stream.count >= pdf["least"].iat[0]), _titles(pdf))
+
+
+def _pages_told(pdf: pd.DataFrame, told: pd.DataFrame) -> pd.DataFrame:
+    """A block of a larger host, with the keys that count on the host."""
+    texts, known = pdf["text"].tolist(), told["key"].to_numpy(np.int64)
+    stream = _Stream(texts, pdf["page"].tolist())
+    keys, title = stream.keys(), set(known.tolist())
+    return _furniture_of(pdf, texts, stream.flags(np.isin(keys, known)), {h for h in _heads(texts) if _title_key(h) in title})
+
+
 def page_furniture(df: DataFrame, page_col: str, text_col: str, title_col: str, urls: list[str]) -> DataFrame:
     """(page, text_key, line_no, kind): the lines that are not main body; lines split at ``\\n``, from 1.
 
@@ -289,8 +366,15 @@ def page_furniture(df: DataFrame, page_col: str, text_col: str, title_col: str,
     rows = rows.where(F.col("text").isNotNull() & (F.col("text") != "")).dropDuplicates(["page", "text"])
     size = rows.groupBy("site").agg(F.count(F.lit(1)).alias("n"))
     blocks = F.ceil(F.col("n") / PAGES)
-    rows = rows.join(size, "site").withColumn("block", F.pmod(F.xxhash64("page"), blocks)).drop("n")
-    return rows.groupBy("site", "block").applyInPandas(_pages, f"page {dict(rows.dtypes)['page']}, text_key string, line_no int, kind string").distinct()
+    least = F.greatest(F.lit(LEAST_PAGES), F.least(F.lit(MOST_PAGES), F.floor(F.col("n") / 50))).cast("int")
+    rows = rows.join(size, "site").withColumn("least", least).withColumn("block", F.when(F.col("n") > PAGES, F.pmod(F.xxhash64("page"), F.ceil(F.col("n") / PAGES)))).drop("n")
+    schema = f"page {dict(rows.dtypes)['page']}, text_key string, line_no int, kind string"
+    one = rows.where("block is null").groupBy("site").applyInPandas(_pages, schema)
+    large = rows.where("block is not null")
+    keys = large.groupBy("site", "block").applyInPandas(_block_keys, "site string, block long, least int, key long, pages long")
+    told = keys.withColumn("pages", F.sum("pages").over(Window.partitionBy("site", "key"))).where(F.col("pages") >= F.col("least")).select("site", "block", "key")
+    many = large.groupBy("site", "block").cogroup(told.groupBy("site", "block")).applyInPandas(_pages_told, schema)
+    return one.unionByName(many).distinct()
 
 
 def _join(it):
