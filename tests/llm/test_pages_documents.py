@@ -1,6 +1,7 @@
 """Problems 3, 5, 7, 8, 9 and 10."""
 
 import random
+import re
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -359,3 +360,8 @@ def test_placeholders(spark):
     spans = N.personal_spans(df, "doc_id", "text", names).collect()
     assert all(r["value"] and r["end_pos"] - r["start_pos"] == len(r["value"]) for r in spans) and len(spans) == 5
     assert N.personal_spans(df.limit(0), "doc_id", "text").count() == 0
+
+
+def test_a_name_found_by_its_title_is_found_again():
+    text = "We saw Dr Quillon in spring. Later Quillon said to rest, and Quillon's notes agree."
+    assert [a for a, _, k in N.Finder([]).find(text) if k == "name"] == [m.start() for m in re.finditer("Quillon", text)]

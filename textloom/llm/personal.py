@@ -180,6 +180,15 @@ class Finder:
                 t = self._trim(text, *m.span(1))
                 if t:
                     found.append(t)
+        # surnames and whole names that a cue gave away count wherever else they stand
+        known = set()
+        for a, b in found:
+            name = text[a:b]
+            known |= {name, name.split(",")[0] if "," in name else name.rsplit(" ", 1)[-1]}
+        known = {x for x in known if len(x) > 2 and not x.endswith(".") and x not in ORDINARY and x.title() not in AMBIGUOUS}
+        if known:
+            either = "|".join(map(re.escape, sorted(known, key=len, reverse=True)))
+            found += [m.span() for m in re.finditer(rf"(?<![\w@.+'’-])(?:{either})(?![\w@-]|\.\w)", text)]
         for m in _CAPITAL.finditer(text):
             word = m[0]
             low = word.lower()
