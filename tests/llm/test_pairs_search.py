@@ -188,16 +188,48 @@ def test_leaks_equal_brute_force(spark):
     assert len(got) == len({(r["id"], r["field"], r["item"]) for r in got})
 
 
-def test_edited_passages_are_found(spark):
+def edited(rng, w, n):
+    """The words with ``n`` of them replaced, put in or left out."""
+    w = list(w)
+    for _ in range(n):
+        at = rng.randrange(len(w))
+        w[at : at + 1] = rng.choice([[f"new{rng.randrange(10**9)}"], [], [w[at], f"new{rng.randrange(10**9)}"]])
+    return w
+
+
+@pytest.mark.parametrize(("size", "edits"), [(10, 1), (10, 2), (5, 1), (8, 1)])
+def test_recall_of_edited_windows(spark, size, edits):
+    """Items of one window, so that no whole window survives the edits; all within the distance by brute force."""
+    rng = random.Random(size * 10 + edits)
+    items = [(f"b{k}", " ".join(f"{rng.choice(WORDS)}{rng.randrange(50)}" for _ in range(size))) for k in range(300)]
+    rows = [(b, " ".join([rng.choice(WORDS) for _ in range(20)] + edited(rng, t.split(), edits) + [rng.choice(WORDS) for _ in range(20)])) for b, t in items]
+    most = L.edits_allowed(size)
+    want = set()
+    for (b, t), (_, text) in zip(items, rows, strict=True):
+        w, v = t.split(), text.split()
+        if any(L.edit_distance(w, v[k : k + size], most) <= most for k in range(len(v) - size + 1)):
+            want.add(b)
+    got = L.item_leaks(spark.createDataFrame(rows, "id string, t string"), "id", ["t"], spark.createDataFrame(items, "b string, t string"), "b", "t").collect()
+    found = {r["id"] for r in got if r["id"] == r["item"]}
+    assert len(want) >= 100 and found <= want
+    assert len(found) >= L.TARGET * len(want)
+
+
+def test_short_items_are_found_inside_long_texts(spark):
+    items = [("four", "rest for two days"), ("five", "pain after each night shift"), ("one", "zyx")]
+    rows = [("a", "She wrote that pain after each night shift is worse, and that rest for two days did not help her."), ("b", "pain after every night shift was worse"), ("c", "rest for three days"), ("d", "zyx")]
+    got = L.item_leaks(spark.createDataFrame(rows, "id string, t string"), "id", ["t"], spark.createDataFrame(items, "b string, t string"), "b", "t").collect()
+    assert {(r["id"], r["item"], r["edits"]) for r in got} == {("a", "four", 0), ("a", "five", 0), ("b", "five", 1), ("d", "one", 0)}
+
+
+def test_edit_of_long_items_leaves_no_whole_window(spark):
+    """Every sixth word of 24 changed: all windows hold an edit."""
     rng = random.Random(4)
-    items = [(f"b{k}", " ".join(rng.choice(WORDS) for _ in range(25))) for k in range(60)]
-    rows = []
-    for b, t in items:
-        w = t.split()
-        w[rng.randint(3, 20)] = "changed"
-        rows.append((b, " ".join([rng.choice(WORDS) for _ in range(30)] + w)))
+    items = [(f"b{k}", " ".join(f"{rng.choice(WORDS)}{rng.randrange(50)}" for _ in range(24))) for k in range(60)]
+    rows = [(b, " ".join(f"new{k}" if k % 6 == 5 else x for k, x in enumerate(t.split()))) for b, t in items]
     got = L.item_leaks(spark.createDataFrame(rows, "id string, t string"), "id", ["t"], spark.createDataFrame(items, "b string, t string"), "b", "t").collect()
     assert len({r["id"] for r in got if r["id"] == r["item"]}) >= 0.95 * len(items)
+    assert all(r["run"] == 5 for r in got if r["id"] == r["item"])
 
 
 def test_leaks_of_nothing(spark):
@@ -210,8 +242,8 @@ def test_equal_windows_have_equal_keys_anywhere():
     rng = np.random.default_rng(1)
     w = rng.integers(0, 2**63, 60).astype(np.uint64)
     w[40:50] = w[5:15]
-    for r in range(L.REPEATS):
-        k = L.keys(w, np.array([5, 40]), np.array([10, 10]), r)
+    for r in range(20):
+        k = L.keys(w, np.array([5, 40]), 10, r)
         assert k[0] == k[1]
 
 
