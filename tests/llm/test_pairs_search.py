@@ -321,16 +321,40 @@ def test_empty_table(spark):
     assert P.pair_defects(spark.createDataFrame([], "id string, q string, a string"), "id", "q", "a").count() == 0
 
 
+def tables(texts):
+    t = P.Tables()
+    for (k, place), n in P.counted(texts).items():
+        t.counts[k, place] += n
+    return t
+
+
 def test_held_out_tags():
     rows = [(q, a) for _, q, a in many(600)]
-    reader = P.Reader(*P.learn_ends([a for _, a in rows[:400]]))
-    data = [(reader.features(q, p)[0], y) for q, p, y in P.examples(rows[:400])]
-    field = P.Field.fit(data)
-    test = [(reader.features(q, p)[0], y) for q, p, y in P.examples(rows[400:], seed=1)]
+    reader = P.Reader(tables([a for _, a in rows[:400]]))
+
+    def read(rows, seed):
+        return [(reader.features(q, p, P.counted([a]) if a else None)[0], y) for q, p, y, a in P.examples(rows, seed=seed)]
+
+    field = P.Field.fit(read(rows[:400], 7))
+    test = read(rows[400:], 1)
     right = [np.array(y) == t for (_, y), t in zip(test, field.tag([x for x, _ in test]), strict=True)]
     assert np.concatenate(right).mean() >= 0.95
 
 
+def test_tables_count_all_rows_as_a_dictionary_does(spark):
+    rows = many(80) + [("n", None, None), ("e", "", " ")]
+    df = spark.createDataFrame(rows, "id string, question string, answer string").repartition(5)
+    got = P.learn_tables(df).counts
+    assert (got == tables([t for _, q, a in rows for t in (q, a) if t]).counts).all()
+    # by plain counting: words, and how often "visit" ends a sentence
+    said = [re.split(r"(?<=[.?])\s+", t) for _, q, a in rows for t in (q, a) if t]
+    words = [w.strip(P._MARKS).lower() for s in said for c in s if c.endswith((".", "?")) for w in c.split()]
+    h = P._place(P._mixed(P.WordHashes()["headaches"]))
+    assert got[2, h] >= words.count("headaches") > 0
+    assert got[0].sum() + got[1].sum() == sum(max(0, n - k + 1) for s in said for c in s if c.endswith((".", "?")) for n in [len(P._masked(c))] for k in (1, 2, 3))
+    assert got[3, P._beginning("heada")] >= words.count("headaches")
+
+
 def test_clauses_keep_abbreviations_and_decimals():
     assert len(P.clauses("Use 3.5 mg, e.g. after meals. Then rest!\n- one\n- two")) == 4
     assert re.sub(r"\s", "", "".join(P.clauses("A b. C d?"))) == "Ab.Cd?"

@@ -6,7 +6,13 @@ import re
 import unicodedata
 
 import numpy as np
+import pandas as pd
 import xxhash
+import zstandard
+from pyspark import TaskContext
+from pyspark.sql import DataFrame
+
+from ..session import map_pandas
 
 #: Zero-width and invisible joining characters, soft hyphen, byte-order mark.
 INVISIBLE = "­​‌‍‎‏⁠⁡⁢⁣⁤﻿᠎"
@@ -62,3 +68,42 @@ def lcs_length(a, b) -> int:
         u = v & at.get(y, 0)
         v = ((v + u) | (v - u)) & full
     return len(a) - v.bit_count()
+
+
+_BLOCK = 1 << 16
+_BLOCKS = "block int, salt int, counts binary"
+
+
+def table_blocks(table: np.ndarray):
+    """A task's table of counts as compressed blocks; blocks of zeros are left out."""
+    yield from _as_blocks({k: table[k * _BLOCK : (k + 1) * _BLOCK] for k in range(-(-len(table) // _BLOCK))})
+
+
+def _as_blocks(blocks: dict[int, np.ndarray]):
+    z = zstandard.ZstdCompressor(level=1)
+    keep = {k: v for k, v in blocks.items() if v.any()}
+    yield pd.DataFrame({"block": np.fromiter(keep, np.int32, len(keep)), "salt": np.full(len(keep), TaskContext.get().partitionId() % 64, np.int32), "counts": [z.compress(v.astype(np.uint64).tobytes()) for v in keep.values()]})
+
+
+def _add(it):
+    total: dict[int, np.ndarray] = {}
+    for pdf in it:
+        for k, c in zip(pdf["block"], pdf["counts"], strict=True):
+            total[k] = total.get(k, 0) + np.frombuffer(zstandard.decompress(c), np.uint64)
+    if total:
+        yield from _as_blocks(total)
+
+
+def summed_tables(rows: DataFrame, counted, size: int) -> np.ndarray:
+    """The sum of the tables of ``size`` counts that ``counted`` gives, as ``table_blocks``, for each task's rows.
+
+    Blocks are added up in two steps, so no task and not the driver sees more than one table of each of 64 groups of tasks.
+    """
+    parts = map_pandas(rows, counted, _BLOCKS)
+    n = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    for keys in (("block", "salt"), ("block",)):
+        parts = map_pandas(parts.repartition(min(n, 64), *keys), _add, _BLOCKS)
+    table = np.zeros(-(-size // _BLOCK) * _BLOCK, np.uint64)
+    for r in parts.collect():  # at most size / _BLOCK rows of at most 8 * _BLOCK bytes
+        table[r["block"] * _BLOCK : (r["block"] + 1) * _BLOCK] = np.frombuffer(zstandard.decompress(r["counts"]), np.uint64)
+    return table[:size].astype(np.int64)

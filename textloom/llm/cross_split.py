@@ -34,12 +34,11 @@ import numpy as np
 import pandas as pd
 import xxhash
 import zstandard
-from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import checkpointed, map_pandas
-from .common import WordHashes, lcs_length, mix, words
+from .common import WordHashes, lcs_length, mix, summed_tables, table_blocks, words
 
 SAME = 0.8  #: share of the longer text's words that must stand in the other, in order
 BUCKETS = 48
@@ -51,7 +50,6 @@ CHUNK = 1 << 20
 BROADCAST_ROWS = 200_000  #: 24 bytes each
 
 EVAL, TRAIN = 1, 2
-_BLOCK = 1 << 16
 
 
 def split_side(split: Column) -> Column:
@@ -106,35 +104,12 @@ def _count(it, texts: str):
     for pdf in it:
         _, t = _Texts(hashes, _batch_words(pdf[texts])).terms()
         table += np.bincount((t >> np.uint64(44)).astype(np.int64), minlength=TABLE).astype(np.uint32)
-    yield from _as_blocks({k: table[k * _BLOCK : (k + 1) * _BLOCK] for k in range(TABLE // _BLOCK)})
-
-
-def _as_blocks(blocks: dict[int, np.ndarray]):
-    z = zstandard.ZstdCompressor(level=1)
-    keep = {k: v for k, v in blocks.items() if v.any()}
-    yield pd.DataFrame({"block": np.fromiter(keep, np.int32, len(keep)), "salt": np.full(len(keep), TaskContext.get().partitionId() % 64, np.int32), "counts": [z.compress(v.astype(np.uint32).tobytes()) for v in keep.values()]})
-
-
-def _add(it):
-    total: dict[int, np.ndarray] = {}
-    for pdf in it:
-        for k, c in zip(pdf["block"], pdf["counts"], strict=True):
-            total[k] = total.get(k, 0) + np.frombuffer(zstandard.decompress(c), np.uint32)
-    if total:
-        yield from _as_blocks(total)
+    yield from table_blocks(table)
 
 
 def term_counts(rows: DataFrame) -> np.ndarray:
     """The table of term frequencies over all rows: TABLE counts, whatever the number of rows."""
-    schema = "block int, salt int, counts binary"
-    parts = map_pandas(rows.select("text"), partial(_count, texts="text"), schema)
-    n = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    for keys in (("block", "salt"), ("block",)):
-        parts = map_pandas(parts.repartition(min(n, 64), *keys), _add, schema)
-    table = np.zeros(TABLE, np.uint32)
-    for r in parts.collect():  # at most TABLE / _BLOCK rows of at most 4 * _BLOCK bytes
-        table[r["block"] * _BLOCK : (r["block"] + 1) * _BLOCK] = np.frombuffer(zstandard.decompress(r["counts"]), np.uint32)
-    return table
+    return summed_tables(rows.select("text"), partial(_count, texts="text"), TABLE)
 
 
 _POST = np.dtype([("term", "<u4"), ("lo", "<u4"), ("hi", "u1"), ("n", "<u2"), ("left", "<u2"), ("q", "<u2"), ("counts", "u1", BUCKETS // 2)])

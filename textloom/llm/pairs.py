@@ -4,10 +4,15 @@ The response is cut into clauses; a linear-chain conditional random field tags e
 answer, refusal, echo of the question, foreign (another language than the question) or
 unfinished; the tags' coverage of the response, in words, decides the pair's defect.
 
-The field is fitted at query time on a bounded sample (``FIT_ROWS`` pairs, the smallest by a hash
+How often words and groups of up to three words stand inside and at the end of sentences, which words
+there are and which beginnings they have is counted over all questions and answers, by task, into
+tables of fixed size that are then added up.
+
+The field's weights alone are fitted on a bounded sample (``FIT_ROWS`` pairs, the smallest by a hash
 of the id). No labels are needed: pairs that look sound are turned into each defect, and into sound
 look-alikes, by known changes -- cutting the end off, pasting the own question, borrowing a reply in
-another language, putting a refusal in place -- so every clause's tag is known.
+another language, putting a refusal in place -- so every clause's tag is known. What a changed pair
+itself added to the tables is taken off before its features are read, as a defective pair adds nothing.
 """
 
 from __future__ import annotations
@@ -15,7 +20,6 @@ from __future__ import annotations
 import re
 from collections import Counter
 from functools import partial
-from zlib import crc32
 
 import numpy as np
 import pandas as pd
@@ -23,12 +27,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import map_pandas, ship
-from .common import INVISIBLE, fold
+from .common import INVISIBLE, WordHashes, fold, mix, summed_tables, table_blocks
 
 TAGS = ("answer", "refusal", "echo", "foreign", "unfinished")
 ANSWER, REFUSAL, ECHO, FOREIGN, UNFINISHED = range(5)
 FIT_ROWS = 2000
-END_TABLE = 1 << 18
+BITS = 20  #: of a place in the tables of sentence ends, words and beginnings
+LETTERS = 32  #: of a word's beginning at most
+OFTEN = 5  #: a beginning of words counts from this many on
 
 # Common words by language, each in one list only.
 FUNCTION_WORDS = {
@@ -83,23 +89,37 @@ _DECLINE = re.compile("|".join(DECLINE))
 _DECLINE_STEMS = ("not", "n't", "cant", "wont", "dont", "isnt", "no ", "unable", "declin", "refus", "rather", "outside", "beyond", "rechazar", "prefier", "fuera", " pas", "préfère", "souhait", "aucune", "sort ", "dépasse", "hors ", "possible", "m'a ", "nicht", "kein", "ablehn", "lehne", "möglich", "außerhalb", "angewiesen", "han ")
 _POLITE = re.compile("|".join(POLITE))
 _BUT = re.compile(r"\b(?:but|however|still|pero|sin embargo|mais|aber|jedoch|so please)\b(?=\W+\w+\W+\w+)")
-_CLAUSE = re.compile(r"[^\n]+?(?:[.!?…]+[\"'»”’)\]]*(?=\s|$)|(?=\n)|$)")
-_ABBREVIATED = re.compile(r"\b(e\.g|i\.e|dr|mr|mrs|ms|prof|approx|vs|cf|fig|no|nr|bzw|ca|z\.b|d\.h|p\.ej|sra?|etc|st)\.(?=\s)|^[ \t]*\d{1,2}\.(?=\s)", re.I | re.M)
+_STOP = re.compile(r"[.!?…]+[\"'»”’)\]]*(?=\s|$)")
+_SHORT = re.compile(r"(?:\b(?:e\.g|i\.e|dr|mr|mrs|ms|prof|approx|vs|cf|fig|no|nr|bzw|ca|z\.b|d\.h|p\.ej|sra?|etc|st)|^[ \t]*\d{1,2})\.$", re.I)
 _TOKEN = re.compile(r"[^\W_]+")
 _STOPPED = re.compile(r"(?<!\.\.)[.!?][\"'»”’)\]\s]*$")
 _LIST = re.compile(r"^\s*(?:[-•*–—]|\d{1,2}[.)])\s+\S")
 _DANGLING = re.compile(r"[,;:\-–—(\[«“]$|(?:\.\.\.|…)[\"'»”’)\]\s]*$|\s\"$")
 _OPENERS = {")": "(", "]": "[", "»": "«", "”": "“"}
 _CLOSING = re.compile(
-    r"^\W*(?:(?:i )?hope (?:this|that|it)|(?:with )?(?:best|kind|warm|many|all the best)\b|wishing|take (?:good )?care|yours|regards|get well|good luck|all of this|this holds"
+    r"^\W*(?:(?:i )?hope (?:this|that|it)|(?:with )?(?:best|kind|warm|many|all the best)\b|wishing|take (?:good )?care|yours|regards|get well|good luck"
     r"|mit freundlichen|viele grüße|alles gute|gute besserung|cordialement|bien à vous|bon courage|bon rétablissement|en espérant|(?:un )?saludos?|atentamente|que se mejore|cuídese|espero que|suerte)|[\u2600-\u27bf\U0001f300-\U0001faff]\ufe0f?\s*$"
 )
 
+#: a remark in brackets that are closed
+_REMARK = re.compile(r"^[(\[][^()\[\]]+[)\]]$")
+
 
 def clauses(text: str) -> list[str]:
-    """Sentences and lines; abbreviations and decimals do not end one."""
-    t = _ABBREVIATED.sub(lambda m: m[0][:-1] + "․", text)
-    return [c for c in (m[0].strip() for m in _CLAUSE.finditer(t)) if c]
+    """Sentences and lines; abbreviations, numbers of list entries and decimals do not end one."""
+    out = []
+    for line in text.split("\n"):
+        at = 0
+        for m in _STOP.finditer(line):
+            end = m.end()
+            if m[0] == "." and end < len(line) and _SHORT.search(line, max(0, end - 7), end):
+                continue
+            if c := line[at:end].strip():
+                out.append(c)
+            at = end
+        if c := line[at:].strip():
+            out.append(c)
+    return out
 
 
 def language(tokens) -> list[int]:
@@ -119,8 +139,33 @@ def _open(text: str) -> bool:
 _MARKS = ".,;:!?()[]\"«»“”…"
 
 
-def _end_key(words: list[str], k: int) -> int:
-    return crc32(" ".join([str(k), *words[-k:]]).encode()) % END_TABLE
+_M64 = (1 << 64) - 1
+
+
+def _mixed(x: int) -> int:
+    """``mix`` of one number."""
+    x = (x ^ (x >> 31)) * 0x9E3779B97F4A7C15 & _M64
+    return x ^ (x >> 29)
+
+
+def _place(h: int) -> int:
+    return h >> (64 - BITS)
+
+
+def _beginning(word: str) -> int:
+    """The place of a beginning of words."""
+    h = 0
+    for c in word[:LETTERS]:
+        h = _mixed((h * 0x100000001B3 + ord(c)) & _M64)
+    return _place(h)
+
+
+def _group(hashes: list[int]) -> int:
+    """The hash of a group of words, its last word first."""
+    h = len(hashes)
+    for x in reversed(hashes):
+        h = _mixed((h * 0x100000001B3 + x) & _M64)
+    return h
 
 
 def _masked(clause: str) -> list[str]:
@@ -138,14 +183,134 @@ FEATURES = ("bias", "declines", "declines_but", "polite", "echo>=.9", "echo>=.6"
 _F = {n: k for k, n in enumerate(FEATURES)}
 
 
-class Reader:
-    """Turns a pair into clause features; ``ends`` holds how often word groups end a sentence.
+class Tables:
+    """Counts by place of a hash: word groups ``inside`` and at the ``end`` of stopped clauses, ``words``, and ``starts`` of words."""
+
+    NAMES = ("inside", "end", "words", "starts")
+
+    def __init__(self, counts: np.ndarray | None = None):
+        self.counts = np.zeros((len(self.NAMES), 1 << BITS), np.int64) if counts is None else counts
+
+    def get(self, name: str, place: int, less: Counter | None = None) -> int:
+        k = self.NAMES.index(name)
+        n = int(self.counts[k, place])
+        return n - less[k, place] if less else n
+
+
+class Learner:
+    """Adds texts to tables; words are looked up once and remembered."""
+
+    def __init__(self):
+        self.hashes, self.known, self.raw = WordHashes(), {}, []
+        self.seen: Counter = Counter()
+
+    def _word(self, w: str) -> int:
+        """Number of a word as it stands: its hashes as first word of a clause, within one, and plain."""
+        w_ = w.strip(_MARKS)
+        low = w_.lower()
+        first = "#" if w_[:1].isdigit() else low
+        rest = "X" if w_[:1].isupper() else first
+        self.known[w] = len(self.raw)
+        self.raw.append((self.hashes[first], self.hashes[rest], self.hashes[low], bool(w_), low))
+        return self.known[w]
+
+    def places(self, texts) -> list[np.ndarray]:
+        """The places each table is to be counted up at, one per occurrence; beginnings come with ``starts``."""
+        if len(self.known) > 500_000:
+            self.known, self.raw = {}, []
+        numbers, sizes = [], []
+        for t in texts:
+            for c in clauses(t):
+                if _STOPPED.search(c):
+                    found = [self.known[w] if w in self.known else self._word(w) for w in c.split()]
+                    numbers += found
+                    sizes.append(len(found))
+        if not numbers:
+            return [np.zeros(0, np.int64)] * 3
+        used, numbers = np.unique(np.array(numbers, np.int64), return_inverse=True)
+        table = [self.raw[k] for k in used.tolist()]
+        first, rest, plain = (np.array([r[k] for r in table], np.uint64)[numbers] for k in range(3))
+        real = np.array([r[3] for r in table])[numbers]
+        for r, n in zip(table, np.bincount(numbers, minlength=len(table)).tolist(), strict=True):
+            self.seen[r[4]] += n
+        clause = np.repeat(np.arange(len(sizes)), sizes)[real]
+        first, rest, plain = first[real], rest[real], plain[real]
+        if not len(clause):
+            return [np.zeros(0, np.int64)] * 3
+        opens = np.concatenate(([True], clause[1:] != clause[:-1]))
+        closes = np.concatenate((opens[1:], [True]))
+        nth = np.arange(len(clause)) - np.maximum.accumulate(np.where(opens, np.arange(len(clause)), 0))
+        h = np.where(opens, first, rest)
+        inside, end = [], []
+        for k in (1, 2, 3):
+            at = np.flatnonzero(nth >= k - 1)
+            g = np.full(len(at), k, np.uint64)
+            for j in range(k):
+                g = mix(g * np.uint64(0x100000001B3) + h[at - j])
+            g = (g >> np.uint64(64 - BITS)).astype(np.int64)
+            inside.append(g[~closes[at]])
+            end.append(g[closes[at]])
+        words = (mix(plain) >> np.uint64(64 - BITS)).astype(np.int64)
+        return [np.concatenate(inside), np.concatenate(end), words]
+
+    def starts(self):
+        """(place, count) of the beginnings of the words seen since the last call."""
+        words = [w for w in self.seen if len(w) > 3]
+        n = np.fromiter((self.seen[w] for w in words), np.int64, len(words))
+        self.seen.clear()
+        size = np.fromiter(map(len, words), np.int64, len(words))
+        letters = np.array(words, f"U{LETTERS}").view(np.uint32).reshape(len(words), LETTERS).astype(np.uint64)
+        h, place, times = np.zeros(len(words), np.uint64), [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        for k in range(min(LETTERS, int(size.max(initial=0)) - 1)):
+            h = mix(h * np.uint64(0x100000001B3) + letters[:, k])
+            if k >= 2:
+                at = size > k + 1
+                place.append((h[at] >> np.uint64(64 - BITS)).astype(np.int64))
+                times.append(n[at])
+        return np.concatenate(place), np.concatenate(times)
+
+
+def _learn(it):
+    """The tables of a task, in compressed blocks."""
+    learner, counts = Learner(), np.zeros((len(Tables.NAMES), 1 << BITS), np.int64)
+
+    def add_starts():
+        place, n = learner.starts()
+        if len(place):
+            counts[3] += np.bincount(place, weights=n, minlength=1 << BITS).astype(np.int64)
+
+    for pdf in it:
+        texts = [x for c in ("question", "answer") for x in pdf[c] if isinstance(x, str)]
+        for k, places in enumerate(learner.places(texts)):
+            if len(places):
+                counts[k] += np.bincount(places, minlength=1 << BITS)
+        if len(learner.seen) > 200_000:
+            add_starts()
+    add_starts()
+    yield from table_blocks(counts.ravel())
+
+
+def learn_tables(rows: DataFrame) -> Tables:
+    """The tables over all rows (question, answer)."""
+    return Tables(summed_tables(rows.select("question", "answer"), _learn, len(Tables.NAMES) << BITS).reshape(len(Tables.NAMES), -1))
+
+
+def counted(texts: list[str]) -> Counter:
+    """What a few texts add to the tables, by (table, place)."""
+    learner, count = Learner(), Counter()
+    for k, places in enumerate(learner.places(texts)):
+        count.update((k, p) for p in places.tolist())
+    place, n = learner.starts()
+    for p, m in zip(place.tolist(), n.tolist(), strict=True):
+        count[3, p] += m
+    return count
 
-    ``vocabulary`` marks the words seen, ``starts`` the beginnings of words seen often.
-    """
 
-    def __init__(self, ends: np.ndarray | None = None, vocabulary: np.ndarray | None = None, starts: frozenset = frozenset()):
-        self.ends, self.vocabulary, self.starts = ends, vocabulary, starts
+class Reader:
+    """Turns a pair into clause features, with the corpus' ``tables`` for the ends of sentences."""
+
+    def __init__(self, tables: Tables | None = None):
+        self.tables, self.hashes = tables, WordHashes()
 
     def question(self, q: str | None):
         tokens = _TOKEN.findall(fold(q)) if q else []
@@ -154,7 +319,8 @@ class Reader:
         most = max(lang)
         return set(zip(same, same[1:], strict=False)), set(same), lang.index(most) if most >= 2 else -1
 
-    def features(self, q: str | None, parts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    def features(self, q: str | None, parts: list[str], less: Counter | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """Features and words of each clause; ``less`` is taken off the tables."""
         pairs, single, own = self.question(q)
         x = np.zeros((len(parts), len(FEATURES)), np.float32)
         x[:, 0] = 1
@@ -187,11 +353,11 @@ class Reader:
                 f[3] = 1
         if len(parts):
             x[0, _F["first"]] = 1
-            self._last(x[-1], parts)
+            self._last(x[-1], parts, less)
         return x, n
 
-    def _last(self, f, parts):
-        raw = parts[-1].replace("․", ".")
+    def _last(self, f, parts, less):
+        raw = parts[-1]
         f[11] = 1
         f[12] = bool(_STOPPED.search(raw))
         f[13] = bool(_LIST.match(raw))
@@ -200,45 +366,28 @@ class Reader:
         words = raw.split()
         if f[13] and len(words) <= 3:
             f[21] = 1
-        low = _masked(raw)
-        if self.ends is not None and low:
-            three, two, one = (self.ends[_end_key(low, k)] if len(low) >= k else np.zeros(2, np.int32) for k in (3, 2, 1))
-            best = next((c for c in (three, two) if c.sum() >= 3), one)
-            n, e = best.sum(), best[1]
+        low = [self.hashes[w] for w in _masked(raw)[-3:]]
+        if self.tables is not None and low:
+            get = self.tables.get
+            place = [_place(_group(low[-k:])) if len(low) >= k else None for k in (1, 2, 3)]
+            one, two, three = ((0, 0) if p is None else (get("inside", p, less), get("end", p, less)) for p in place)
+            best = next((c for c in (three, two) if sum(c) >= 3), one)
+            n, e = sum(best), best[1]
             f[16], f[17] = n > 0 and e >= 0.5 * n, n >= 3 and e < 0.05 * n
-            f[24], f[25] = len(low) > 1 and two.sum() == 0, len(low) > 2 and three.sum() == 0
-            word = words[-1].strip(_MARKS).lower()
-            known = self.vocabulary[_end_key([word], 1)]
+            f[24], f[25] = len(low) > 1 and not sum(two), len(low) > 2 and not sum(three)
+            word = _place(_mixed(self.hashes[words[-1].strip(_MARKS).lower()]))
+            known = get("words", word, less) > 0
             f[18] = words[-1][:1].islower() and not known
-            f[26] = not known and word in self.starts
-        f[19] = bool(_CLOSING.search(fold(raw)))
+            f[26] = not known and get("starts", _beginning(words[-1].strip(_MARKS).lower()), less) >= OFTEN
+        f[19] = bool(_CLOSING.search(fold(raw)) or _REMARK.search(raw))
         f[22] = not (f[12] or f[13] or f[19])
         f[23] = f[22] and f[18]
         f[24:27] *= f[22]
 
 
-def learn_ends(texts: list[str]) -> tuple[np.ndarray, np.ndarray, frozenset]:
-    """How often the last one to three words stand inside and at the end of stopped clauses; words and their beginnings."""
-    ends, vocabulary, seen = np.zeros((END_TABLE, 2), np.int32), np.zeros(END_TABLE, bool), Counter()
-    for t in texts:
-        for c in clauses(t):
-            c = c.replace("․", ".")
-            if not _STOPPED.search(c):
-                continue
-            seen.update(w.strip(_MARKS).lower() for w in c.split())
-            low = _masked(c)
-            for j in range(len(low)):
-                for k in (1, 2, 3):
-                    if j + 1 >= k:
-                        ends[_end_key(low[: j + 1], k), int(j == len(low) - 1)] += 1
-    for w in seen:
-        vocabulary[_end_key([w], 1)] = True
-    return ends, vocabulary, frozenset(w[:k] for w, n in seen.items() if n >= 5 for k in range(3, len(w)))
-
-
 def _cut(rng, text: str) -> str | None:
     c = clauses(text)
-    last = c[-1].replace("․", ".")
+    last = c[-1]
     words = last.split()
     if len(words) < 6:
         return None
@@ -271,7 +420,7 @@ def _swap(text: str) -> str:
 
 
 def examples(sample: list[tuple[str, str]], seed: int = 7):
-    """(question, clauses, tags) made from pairs that look sound."""
+    """(question, clauses, tags, answer) made from pairs that look sound; the answer only where it is changed at its end."""
     rng = np.random.default_rng(seed)
     reader = Reader()
     sound: dict[int, list] = {}
@@ -288,32 +437,32 @@ def examples(sample: list[tuple[str, str]], seed: int = 7):
         others = [r for k, v in sound.items() if k != own for r in v]
         for q, a in rows:
             parts = clauses(a)
-            yield q, parts, [ANSWER] * len(parts)
+            yield q, parts, [ANSWER] * len(parts), None
             what = rng.integers(0, 11)
             if what in (0, 1, 9, 10):
                 cut = _cut(rng, a)
                 if cut:
                     p = clauses(cut)
-                    yield q, p, [ANSWER] * (len(p) - 1) + [UNFINISHED]
+                    yield q, p, [ANSWER] * (len(p) - 1) + [UNFINISHED], a
             elif what == 2 and rng.random() < 0.5:
                 p = clauses(a.rstrip().rstrip(".!"))
-                yield q, p, [ANSWER] * len(p)
+                yield q, p, [ANSWER] * len(p), a
             elif what == 3:
                 p = clauses(a.rstrip() + rng.choice([" ", "\n"]) + str(rng.choice(CLOSINGS)))
-                yield q, p, [ANSWER] * len(p)
+                yield q, p, [ANSWER] * len(p), None
                 p = clauses(a.rstrip() + "\n- keep warm and rest\n- note each day of " + str(rng.choice(parts[0].split())).strip(".,").lower() + "\n- see a nurse within 5 days")
-                yield q, p, [ANSWER] * len(p)
+                yield q, p, [ANSWER] * len(p), None
             elif what == 4:
                 echo = q if rng.random() < 0.5 else _swap(q)
                 p = clauses(rng.choice(["", "You asked: ", "You wrote: ", "Your question was: "]) + echo)
-                yield q, p, [ECHO] * len(p)
+                yield q, p, [ECHO] * len(p), None
                 quoted = clauses("You wrote: " + echo)
-                yield q, quoted + parts, [ECHO] * len(quoted) + [ANSWER] * len(parts)
+                yield q, quoted + parts, [ECHO] * len(quoted) + [ANSWER] * len(parts), None
             elif what == 5 and others:
                 p = clauses(others[int(rng.integers(len(others)))][1])
-                yield q, p, [FOREIGN] * len(p)
-                yield q, parts + p[:1], [ANSWER] * len(parts) + [FOREIGN]
-                yield q, parts[:1] + p, [ANSWER] + [FOREIGN] * len(p)
+                yield q, p, [FOREIGN] * len(p), None
+                yield q, parts + p[:1], [ANSWER] * len(parts) + [FOREIGN], None
+                yield q, parts[:1] + p, [ANSWER] + [FOREIGN] * len(p), None
             elif what in (6, 7):
                 k = names[own]
                 p = [str(rng.choice(LEADS[k])) * (rng.random() < 0.6) + str(rng.choice(REFUSALS[k])) + str(rng.choice([".", "!", ""]))]
@@ -322,10 +471,10 @@ def examples(sample: list[tuple[str, str]], seed: int = 7):
                 if rng.random() < 0.5:
                     p.append(str(rng.choice(TAILS[k])))
                 p = clauses(" ".join(p))
-                yield q, p, [REFUSAL] * len(p)
+                yield q, p, [REFUSAL] * len(p), None
             elif what == 8:
                 p = clauses(str(rng.choice(CAVEATS))) + parts
-                yield q, p, [ANSWER] * len(p)
+                yield q, p, [ANSWER] * len(p), None
 
 
 class Field:
@@ -376,7 +525,8 @@ class Field:
     @staticmethod
     def _expected(x, live, w, t) -> tuple[np.ndarray, np.ndarray]:
         """Expected feature and transition counts, by the forward and backward recursions."""
-        s = x @ w
+        t = t.astype(np.float32)
+        s = x @ w.astype(np.float32)
         width = s.shape[1]
         a, b = np.zeros_like(s), np.zeros_like(s)
         a[:, 0] = s[:, 0]
@@ -445,8 +595,8 @@ def defect(tags: np.ndarray, n: np.ndarray, x: np.ndarray) -> str | None:
 
 
 def _flag(it, model):
-    field, *learned = model.value
-    reader = Reader(*learned)
+    field, tables = model.value
+    reader = Reader(tables)
     for pdf in it:
         found: list = [None] * len(pdf)
         held, seqs = [], []
@@ -465,35 +615,41 @@ def _flag(it, model):
             yield pd.DataFrame(rows, columns=["id", "defect"])
 
 
-def fit(rows: DataFrame):
-    """The field and the sentence-end counts from FIT_ROWS pairs chosen by a hash of id and answer.
+def fit(rows: DataFrame) -> tuple[Field, Tables]:
+    """The field and the tables for rows (id, question, answer).
 
-    Large tables are first thinned by the hash to a few times FIT_ROWS, so that what the tasks send to
+    The tables count all rows. The field is fitted on FIT_ROWS pairs chosen by a hash of id and answer;
+    large tables are first thinned by the hash to a few times FIT_ROWS, so that what the tasks send to
     the driver does not grow with their number.
     """
+    tables = learn_tables(rows)
     n, h = rows.count(), F.xxhash64("id", "answer")
     some = rows.where("question is not null and answer is not null")
     if n > 8 * FIT_ROWS:
         some = some.where(F.pmod(h, F.lit(1 << 30)) < int((1 << 30) * 4 * FIT_ROWS / n))
     some = some.orderBy(h, "id").limit(FIT_ROWS)
-    sample = [(r["question"], r["answer"]) for r in some.select("question", "answer").collect()]  # FIT_ROWS rows at most
-    learned = learn_ends([a for _, a in sample] + [q for q, _ in sample])
-    reader = Reader(*learned)
-    data = [(reader.features(q, p)[0], y) for q, p, y in examples(sample)]
+    return fit_field([(r["question"], r["answer"]) for r in some.select("question", "answer").collect()], tables), tables  # FIT_ROWS rows at most
+
+
+def fit_field(sample: list[tuple[str, str]], tables: Tables) -> Field:
+    reader = Reader(tables)
+    data = [(reader.features(q, p, counted([a]) if a else None)[0], y) for q, p, y, a in examples(sample)]
     if not data:  # nothing to learn from: the seed sentences alone
         data = [(reader.features("is this usual for me and what can i do", clauses(t))[0], [k] * len(clauses(t))) for k, t in ((ANSWER, "Please rest for two days."), (REFUSAL, "I can't help with that."))]
-    return Field.fit(data), *learned
+    return Field.fit(data)
 
 
-def pair_defects(df: DataFrame, id_col: str, question_col: str, answer_col: str) -> DataFrame:
+def pair_defects(df: DataFrame, id_col: str, question_col: str, answer_col: str, model: tuple[Field, Tables] | None = None) -> DataFrame:
     """(id, defect) of the pairs without a usable reply, one row per id.
 
     defect: empty, copied, refusal, wrong_language or truncated, the first that applies in this
     order. A null or empty question is no defect; with it, copied and wrong_language cannot occur.
-    Of several rows of one id the alphabetically first defect counts. Other columns are not read.
+    ``wrong_language`` knows the languages of FUNCTION_WORDS. Of several rows of one id the
+    alphabetically first defect counts. Other columns are not read. ``model`` is what ``fit`` gave
+    for these or other rows; without it, it is fitted on these.
     """
     rows = df.select(F.col(id_col).alias("id"), F.col(question_col).alias("question"), F.col(answer_col).alias("answer"))
     ship(df.sparkSession)
-    model = df.sparkSession.sparkContext.broadcast(fit(rows))
+    model = df.sparkSession.sparkContext.broadcast(model or fit(rows))
     flagged = map_pandas(rows, partial(_flag, model=model), f"id {dict(rows.dtypes)['id']}, defect string")
     return flagged.groupBy("id").agg(F.min("defect").alias("defect"))
