@@ -73,16 +73,19 @@ def html_language(html: Column) -> Column:
     return F.when(found == "", "en").otherwise(F.lower(F.substring(found, 1, 2)))
 
 
+# Where a page says its date, in order.
+DATE_PLACES = (
+    r"(?is)<meta[^>]*name=[\"']citation_publication_date[\"'][^>]*content=[\"']([^\"']{4,})",
+    r"(?is)<meta[^>]*property=[\"']article:published_time[\"'][^>]*content=[\"']([^\"']{4,})",
+    r"(?is)<time[^>]*datetime=[\"']([^\"']{4,})",
+    r"(?is)<meta[^>]*name=[\"']date[\"'][^>]*content=[\"']([^\"']{4,})",
+    r"(?is)<meta[^>]*itemprop=[\"']dateModified[\"'][^>]*content=[\"']([^\"']{4,})",
+)
+
+
 def html_date(html: Column) -> Column:
     """The first of five places for a date that holds one of four characters or more, without its time."""
-    places = (
-        r"(?is)<meta[^>]*name=[\"']citation_publication_date[\"'][^>]*content=[\"']([^\"']{4,})",
-        r"(?is)<meta[^>]*property=[\"']article:published_time[\"'][^>]*content=[\"']([^\"']{4,})",
-        r"(?is)<time[^>]*datetime=[\"']([^\"']{4,})",
-        r"(?is)<meta[^>]*name=[\"']date[\"'][^>]*content=[\"']([^\"']{4,})",
-        r"(?is)<meta[^>]*itemprop=[\"']dateModified[\"'][^>]*content=[\"']([^\"']{4,})",
-    )
-    return F.substring_index(F.coalesce(*(F.nullif(F.trim(F.regexp_extract(html, p, 1)), F.lit("")) for p in places), F.lit("")), "T", 1)
+    return F.substring_index(F.coalesce(*(F.nullif(F.trim(F.regexp_extract(html, p, 1)), F.lit("")) for p in DATE_PLACES), F.lit("")), "T", 1)
 
 
 def html_paragraphs(html: Column, least: int = 20) -> Column:
@@ -97,6 +100,12 @@ def html_links(html: Column) -> Column:
     return F.filter(found, lambda x: ~F.lower(x).rlike("^(mailto|javascript):"))
 
 
+def first_links(html: Column, url: Column, most: int = 25) -> Column:
+    """The first ``most`` targets of a page's links that pass the filter of URLs, absolute, without fragments."""
+    targets = F.transform(html_links(html), lambda x: without_fragment(absolute(x, url)))
+    return F.slice(F.filter(targets, lambda x: ~blocked(x)), 1, most)
+
+
 def absolute(link: Column, base: Column) -> Column:
     """A link against its page's URL: absolute, host-relative, path-relative and query-only forms."""
     scheme = F.regexp_extract(base, r"^([A-Za-z][A-Za-z0-9+.\-]*):", 1)

@@ -111,10 +111,14 @@ def set_review(df: DataFrame, chosen: DataFrame, id_col: str, status: str, from_
     }).drop("_hit")
 
 
-def known_citations(citations: Column, known: Column, default: list[str]) -> Column:
-    """Citations that are known, in order and once; the default where none is."""
-    kept = F.array_intersect(citations, known)
-    return F.when(F.coalesce(F.size(kept), F.lit(0)) > 0, kept).otherwise(F.array(*(F.lit(x) for x in default)))
+def known_citations(df: DataFrame, id_col: str, column: str, keys: DataFrame, default: list[str]) -> DataFrame:
+    """(id, citations): those that are in ``keys`` (key), in order and once; the default where none is.
+
+    A join with the keys, so that their number has no bound. Rows of one id count as one.
+    """
+    each = df.select(id_col, F.posexplode(column).alias("_pos", "key"))
+    hits = each.join(keys.select("key").distinct(), "key", "left_semi").groupBy(id_col).agg(F.array_distinct(F.transform(F.array_sort(F.collect_list(F.struct("_pos", "key"))), lambda x: x["key"])).alias(column))
+    return df.select(id_col).distinct().join(hits, id_col, "left").select(id_col, F.coalesce(column, F.array(*(F.lit(x) for x in default))).alias(column))
 
 
 def new_by_text(df: DataFrame, existing: DataFrame, text: str, order: list[Column]) -> DataFrame:

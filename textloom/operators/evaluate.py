@@ -43,37 +43,61 @@ def labels_met(labels: Column, rules: dict[str, Column]) -> Column:
     return F.forall(F.coalesce(labels, F.array().cast("array<string>")), lambda x: F.coalesce(F.try_element_at(known, x), F.lit(True)))
 
 
-def label_rules(answer: Column, level: Column) -> dict[str, Column]:
-    """Rules that look at the answer's text and level only."""
-    low = F.lower(F.coalesce(answer, F.lit("")))
-    return {
-        "likely_normal_variation": level.isin("normal_variation", "routine_review") & F.contains(low, F.lit("normal")),
-        "prompt_medical_review": level.isin("prompt_medical_review", "urgent_care", "emergency_care"),
-        "urgent_care_needed": level.isin("urgent_care", "emergency_care"),
-        "emergency_care_needed": level == "emergency_care",
-        "recommend_pregnancy_test": F.contains(low, F.lit("pregnancy test")),
-        "provide_education": F.contains(low, F.lit("educational information")),
-        "ask_follow_up_questions": contains_any(low, ("follow-up", "?")),
-        "abstain_due_to_uncertainty": contains_any(low, ("unknown", "not sure")),
-    }
+# The words that meet a label, in the answer and in the care that goes with it.
+LABEL_WORDS = {
+    "possible_pregnancy_related_change": (("pregnancy",), ("pregnancy",)),
+    "possible_infection_or_sti_related_bleeding": (("infection", "sti", "discharge"), ()),
+    "recommend_pregnancy_test": (("pregnancy test",), ("pregnancy test",)),
+    "recommend_clinician_visit": ((), ("clinician", "review", "evaluation")),
+    "provide_education": (("educational information",), ()),
+    "ask_follow_up_questions": (("follow-up", "?"), ()),
+    "abstain_due_to_uncertainty": (("unknown", "not sure"), ()),
+}
+# The levels that meet a label.
+LABEL_LEVELS = {
+    "prompt_medical_review": ("prompt_medical_review", "urgent_care", "emergency_care"),
+    "urgent_care_needed": ("urgent_care", "emergency_care"),
+    "emergency_care_needed": ("emergency_care",),
+}
+
+
+def label_rules(answer: Column, level: Column, care: Column | None = None, features: Column | None = None) -> dict[str, Column]:
+    """A predicate for each label: words of the answer and its care, its level, and features of the case."""
+    low, with_care = (F.lower(F.coalesce(c, F.lit(""))) for c in (answer, care if care is not None else F.lit("")))
+    rules = {k: contains_any(low, a) | contains_any(with_care, c) for k, (a, c) in LABEL_WORDS.items()}
+    rules |= {k: level.isin(*v) for k, v in LABEL_LEVELS.items()}
+    rules["likely_normal_variation"] = level.isin("normal_variation", "routine_review") & F.contains(low, F.lit("normal"))
+    rules["recommend_urgent_evaluation"] = (F.contains(with_care, F.lit("urgent")) & F.contains(with_care, F.lit("today"))) | level.isin(*LABEL_LEVELS["urgent_care_needed"]) | F.contains(low, F.lit("urgent"))
+
+    def feature(name):
+        return F.coalesce(features[name], F.lit(False)) if features is not None else F.lit(False)
+
+    rules["possible_pregnancy_related_change"] |= feature("unprotected_sex_recent")
+    rules["possible_infection_or_sti_related_bleeding"] |= feature("bleeding_after_sex")
+    rules["possible_postpartum_or_breastfeeding_effect"] = feature("breastfeeding") | (features["postpartum_weeks"].isNotNull() if features is not None else F.lit(False))
+    return rules
 
 
 def pass_counts(df: DataFrame, passed: Column) -> DataFrame:
     return df.agg(F.count_if(passed).alias("n_passed"), F.count(F.lit(1)).alias("n_total"))
 
 
-def compare_answers(pairs: DataFrame, a: str, b: str, key: str) -> DataFrame:
-    """Per prompt: lengths, words, heuristics of both answers and their differences."""
+def compare_answers(pairs: DataFrame, a: str, b: str, key: str, numbers: dict[str, tuple[str, str]] | None = None) -> DataFrame:
+    """Per prompt: lengths, words, heuristics of both answers and their differences.
+
+    ``numbers`` names further pairs of numeric columns (tokens, speeds); their difference is null where either is.
+    """
     x, y = answer_scores(F.col(a)), answer_scores(F.col(b))
     n = [F.length(F.coalesce(F.col(c), F.lit(""))) for c in (a, b)]
     w = [word_count(F.coalesce(F.col(c), F.lit(""))) for c in (a, b)]
     flags = [s[k].cast("long").alias(f"{p}_{k}") for p, s in (("a", x), ("b", y)) for k in HEURISTICS]
-    return pairs.select(F.col(key), *flags, (n[1] - n[0]).cast("long").alias("len_delta"), (w[1] - w[0]).cast("long").alias("word_delta"))
+    return pairs.select(F.col(key), *flags, (n[1] - n[0]).cast("long").alias("len_delta"), (w[1] - w[0]).cast("long").alias("word_delta"), *((F.col(y) - F.col(x)).alias(f"{k}_delta") for k, (x, y) in (numbers or {}).items()))
 
 
 def compare_summary(rows: DataFrame) -> DataFrame:
     sums = [F.sum(c).alias(c) for c in rows.columns if c.startswith(("a_", "b_"))]
-    return rows.agg(F.count(F.lit(1)).alias("n"), *sums, F.round(F.avg("len_delta"), 6).alias("mean_len_delta"), F.round(F.avg("word_delta"), 6).alias("mean_word_delta"))
+    """Sums of the heuristics and means of the differences, each over the rows that have it."""
+    return rows.agg(F.count(F.lit(1)).alias("n"), *sums, *(F.round(F.avg(c), 6).alias(f"mean_{c}") for c in rows.columns if c.endswith("_delta")))
 
 
 def most_improved(rows: DataFrame, key: str, n: int = 5) -> DataFrame:
@@ -81,11 +105,21 @@ def most_improved(rows: DataFrame, key: str, n: int = 5) -> DataFrame:
     return rows.select(key, gain.alias("gain")).orderBy(F.desc("gain"), key).limit(n)
 
 
+# How a generator's output marks its parts.
+RULE, PROMPT_MARK, RULED_BY = r"={10,}", "Prompt:", r"\s+\d+\s+tokens,\s+([0-9.]+)\s+tokens-per-sec"
+
+
 def parse_generation(out: Column) -> Column:
-    """Struct(answer, gen_tps, prompt_tps) from the output of a generator: text between a rule and ``Prompt:``."""
+    """Struct(answer, gen_tps, prompt_tps) from the output of a generator.
+
+    The answer stands between a rule and the prompt's mark; without a rule, before the mark; without
+    either, it is the whole output. Blank answers and absent speeds are null.
+    """
+
     def number(name):
-        return F.regexp_extract(out, name + r":\s+\d+\s+tokens,\s+([0-9.]+)\s+tokens-per-sec", 1).try_cast("double")
+        return F.regexp_extract(out, f"{name}:{RULED_BY}", 1).try_cast("double")
 
-    ruled = F.regexp_extract(out, r"(?s)={10,}\n(.*?)\nPrompt:", 1)
-    text = F.when(F.trim(ruled) != "", F.trim(ruled)).otherwise(F.trim(F.split(out, "Prompt:")[0]))
+    ruled = F.regexp_extract(out, rf"(?s){RULE}\n(.*?)\n(?:{RULE}\n)?{PROMPT_MARK}", 1)
+    ruled = F.regexp_replace(ruled, rf"\n?{RULE}\s*$", "")
+    text = F.when(F.trim(ruled) != "", F.trim(ruled)).otherwise(F.trim(F.split(out, PROMPT_MARK)[0]))
     return F.struct(F.nullif(text, F.lit("")).alias("answer"), number("Generation").alias("gen_tps"), number("Prompt").alias("prompt_tps"))

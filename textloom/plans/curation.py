@@ -7,8 +7,10 @@ from ..operators import curation as C
 from ..operators import evaluate as E
 from ..operators import export as X
 from ..operators import ingest as G
+from ..operators import retrieval as R
 from ..operators import validate as V
 from ..session import table
+from .retrieval import _bm25
 from .sql import plain_trim
 from .texts import _TOPICS, _chain
 
@@ -19,7 +21,7 @@ def _int(spark, d):
 
 def _rows(spark, d):
     """Interactions once per id: the first delivery."""
-    df = _int(spark, d).select("interaction_id", "data_origin", "review_status", "raw_input", "normalized_case_summary", "assistant_output", "citations", "risk_level", "care_recommendation", "abstained", "human_reviewed", "split", "created_at", "ingested_at")
+    df = _int(spark, d).select("interaction_id", "data_origin", "review_status", "raw_input", "normalized_case_summary", "assistant_output", "citations", "risk_level", "care_recommendation", "abstained", "human_reviewed", "split", "created_at", "ingested_at", "extracted_features")
     return C.first_per_key(df, [F.col("interaction_id")], [F.col("ingested_at"), F.col("raw_input"), F.col("assistant_output"), F.col("risk_level"), F.col("review_status")])
 
 
@@ -67,11 +69,9 @@ def next_source_id(spark, d):
 
 
 def known_citations(spark, d):
-    keys = table(spark, d, "source_catalog").select(F.upper(F.trim("source_id")).alias("k")).distinct()
-    each = _rows(spark, d).select("interaction_id", F.posexplode_outer("citations").alias("pos", "c")).withColumn("k", F.upper(F.trim("c")))
-    hits = each.join(keys, "k", "left_semi").groupBy("interaction_id").agg(F.array_distinct(F.transform(F.array_sort(F.collect_list(F.struct("pos", "k"))), lambda x: x["k"])).alias("known"))
-    out = _rows(spark, d).select("interaction_id").join(hits, "interaction_id", "left")
-    return out.select("interaction_id", F.array_join(F.coalesce("known", F.array(F.lit("SRC00006"), F.lit("SRC00007"))), ";").alias("citations"))
+    keys = table(spark, d, "source_catalog").select(F.upper(F.trim("source_id")).alias("key"))
+    rows = _rows(spark, d).select("interaction_id", F.transform("citations", lambda c: F.upper(F.trim(c))).alias("citations"))
+    return C.known_citations(rows, "interaction_id", "citations", keys, ["SRC00006", "SRC00007"]).withColumn("citations", F.array_join("citations", ";"))
 
 
 def new_interactions(spark, d):
@@ -158,13 +158,14 @@ def ingest_chunks(spark, d):
 
 
 def chat_export(spark, d):
-    df = X.exportable(_int(spark, d))
-    rows = X.chat_rows(C.first_per_key(df, [F.col("interaction_id")], [F.col("ingested_at"), F.col("raw_input"), F.col("assistant_output")]))
-    return rows.select("interaction_id", F.element_at("messages", 3)["content"].alias("assistant"), F.size("messages").cast("long").alias("n_messages"), F.get_json_object(F.element_at("messages", 2)["content"], "$.question").alias("question"))
+    """All three messages; the user's is the whole JSON of the question, its features, citations and level."""
+    rows = X.chat_rows(X.exportable(_rows(spark, d)))
+    said = [F.element_at("messages", k)["content"] for k in (1, 2, 3)]
+    return rows.select("interaction_id", F.md5(said[0]).alias("system_md5"), F.md5(said[1]).alias("user_md5"), F.md5(said[2]).alias("assistant_md5"), F.array_join(F.transform("messages", lambda m: m["role"]), ",").alias("roles"))
 
 
 def completion_export(spark, d):
-    rows = X.completion_rows(X.exportable(_rows(spark, d)).withColumn("extracted_features", F.lit(None).cast("struct<a:int>")))
+    rows = X.completion_rows(X.exportable(_rows(spark, d)))
     return rows.select("interaction_id", F.md5("prompt").alias("prompt_md5"), "completion")
 
 
@@ -177,12 +178,17 @@ def local_prompts(spark, d):
 
 
 def benchmark_pass(spark, d):
-    """The benchmark's inputs against the nearest interaction answer of the same expected level."""
+    """Each benchmark item against the answer of the interaction whose question BM25 ranks first for it."""
     items = table(spark, d, "benchmark_eval_set")
-    best = _rows(spark, d).where("assistant_output is not null").groupBy(F.col("risk_level").alias("expected_risk")).agg(F.min(F.struct("interaction_id", "assistant_output")).alias("x"))
-    both = items.join(best, "expected_risk").select("benchmark_id", "expected_risk", "expected_labels", "must_not_do", F.col("x.assistant_output").alias("answer"))
-    ok = E.labels_met(F.col("expected_labels"), E.label_rules(F.col("answer"), F.col("expected_risk")))
-    return both.select("benchmark_id", E.level_reached(F.col("expected_risk"), F.lit("routine_review")).alias("level_ok"), ok.alias("labels_ok"), E.no_forbidden(F.col("answer"), F.col("must_not_do")).alias("clean"))
+    rows = _rows(spark, d).where("assistant_output is not null")
+    hits = R.search(rows.select(F.col("interaction_id").alias("doc_id"), F.col("raw_input").alias("text")), items.select(F.col("benchmark_id").alias("query_id"), F.col("input").alias("text")), 1)
+    both = items.join(hits.select(F.col("query_id").alias("benchmark_id"), F.col("doc_id").alias("interaction_id")), "benchmark_id").join(rows, "interaction_id")
+    ok = E.labels_met(F.col("expected_labels"), E.label_rules(F.col("assistant_output"), F.col("risk_level"), F.col("care_recommendation"), F.col("extracted_features")))
+    return both.select("benchmark_id", "interaction_id", E.level_reached(F.col("risk_level"), F.col("expected_risk")).alias("level_ok"), ok.alias("labels_ok"), E.no_forbidden(F.col("assistant_output"), F.col("must_not_do")).alias("clean"))
+
+
+def benchmark_rate(spark, d):
+    return E.pass_counts(benchmark_pass(spark, d), F.col("level_ok") & F.col("labels_ok") & F.col("clean"))
 
 
 def ab_score(spark, d):
@@ -223,17 +229,26 @@ def _words(c: str) -> str:
 
 
 _AB = _ROWS + f", ab AS (SELECT interaction_id{_SCORES}, length(coalesce(assistant_output, '')) - length(coalesce(normalized_case_summary, '')) AS len_delta, {_words('assistant_output')} - {_words('normalized_case_summary')} AS word_delta FROM rows)"
-_RULES = {
-    "likely_normal_variation": "expected_risk IN ('normal_variation', 'routine_review') AND contains(low, 'normal')",
-    "prompt_medical_review": "expected_risk IN ('prompt_medical_review', 'urgent_care', 'emergency_care')",
-    "urgent_care_needed": "expected_risk IN ('urgent_care', 'emergency_care')",
-    "emergency_care_needed": "expected_risk = 'emergency_care'",
-    "recommend_pregnancy_test": "contains(low, 'pregnancy test')",
-    "provide_education": "contains(low, 'educational information')",
-    "ask_follow_up_questions": "contains(low, 'follow-up') OR contains(low, '?')",
-    "abstain_due_to_uncertainty": "contains(low, 'unknown') OR contains(low, 'not sure')",
-}
-_LABELS = " AND ".join(f"(NOT list_contains(expected_labels, '{k}') OR {v})" for k, v in _RULES.items())
+def _any(c: str, words) -> str:
+    return " OR ".join(f"contains({c}, '{w}')" for w in words) or "false"
+
+
+_URGENT = "risk_level IN ('urgent_care', 'emergency_care')"
+_RULES = {k: f"({_any('low', a)} OR {_any('care', c)})" for k, (a, c) in E.LABEL_WORDS.items()} | {k: f"risk_level IN {tuple(v) if len(v) > 1 else repr(v).replace(',', '')}" for k, v in E.LABEL_LEVELS.items()}
+_RULES["likely_normal_variation"] = "risk_level IN ('normal_variation', 'routine_review') AND contains(low, 'normal')"
+_RULES["recommend_urgent_evaluation"] = f"(contains(care, 'urgent') AND contains(care, 'today')) OR {_URGENT} OR contains(low, 'urgent')"
+_RULES["possible_pregnancy_related_change"] += " OR coalesce(extracted_features.unprotected_sex_recent, false)"
+_RULES["possible_infection_or_sti_related_bleeding"] += " OR coalesce(extracted_features.bleeding_after_sex, false)"
+_RULES["possible_postpartum_or_breastfeeding_effect"] = "coalesce(extracted_features.breastfeeding, false) OR extracted_features.postpartum_weeks IS NOT NULL"
+_LABELS = " AND ".join(f"(NOT list_contains(expected_labels, '{k}') OR coalesce({v}, false))" for k, v in _RULES.items())
+_RANK = "list_position(['normal_variation', 'routine_review', 'prompt_medical_review', 'urgent_care', 'emergency_care'], {c})"
+_BENCH = _ROWS + f""", {_bm25(docs="(SELECT interaction_id AS doc_id, raw_input AS text FROM rows WHERE assistant_output IS NOT NULL)")},
+b AS (SELECT benchmark_id, expected_risk, expected_labels, must_not_do, rows.*, lower(assistant_output) AS low, lower(coalesce(care_recommendation, '')) AS care FROM benchmark_eval_set JOIN best ON query_id = benchmark_id AND rank = 1 JOIN rows ON doc_id = interaction_id),
+passed AS (SELECT benchmark_id, interaction_id, {_RANK.format(c='risk_level')} >= {_RANK.format(c='expected_risk')} AS level_ok, {_LABELS} AS labels_ok, len(list_filter(must_not_do, lambda p: contains(low, lower(p)))) = 0 AS clean FROM b)"""
+#: JSON with escapes for what is not ASCII: every such character as its UTF-16 code units
+_ASCII = "list_aggregate(list_transform(regexp_extract_all({c}, '(?s).'), lambda x: CASE WHEN unicode(x) < 128 THEN x WHEN unicode(x) < 65536 THEN '\\u' || format('{{:04X}}', unicode(x)) ELSE '\\u' || format('{{:04X}}', 55296 + (unicode(x) - 65536) // 1024) || '\\u' || format('{{:04X}}', 56320 + (unicode(x) - 65536) % 1024) END), 'string_agg', '')"
+_FEATURES = "CASE WHEN extracted_features IS NULL THEN '{{}}' ELSE to_json(extracted_features)::VARCHAR END"
+_USER = "to_json(struct_pack(question := raw_input, extracted_features := extracted_features, citations_used := coalesce(citations, []), risk_level_target := risk_level))::VARCHAR"
 _CHUNKED = r""", items AS (SELECT source_id, content_sha1, page_title, list_filter(list_transform(string_split(raw_text, chr(10)), lambda x: trim(x, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13))), lambda x: x <> '') AS items FROM new JOIN ids USING (page_url)),
 walk AS (SELECT *, 1 AS i, 1 AS no, items[1] AS buf, length(items[1]) + 1 AS n FROM items WHERE len(items) > 0
  UNION ALL SELECT source_id, content_sha1, page_title, items, i + 1, CASE WHEN n > 0 AND n + 1 + length(items[i + 1]) > 1200 THEN no + 1 ELSE no END,
@@ -246,7 +261,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         exact_dedup_first, dup_groups, norm_key_dedup, split_partition, split_routing, split_summary, review_queue, sample_hash, first_n_per_split, next_source_id, known_citations, new_interactions, set_review, unique_violations, fk_violations,
-        enum_violations, required_nulls, policy_violations, citation_coverage, top_sources, label_distribution, split_integrity, nonempty_ratio, ingest_reasons, ingest_sources, ingest_chunks, chat_export, completion_export, metadata_export, local_prompts, benchmark_pass, ab_score, ab_summary, ab_improved,
+        enum_violations, required_nulls, policy_violations, citation_coverage, top_sources, label_distribution, split_integrity, nonempty_ratio, ingest_reasons, ingest_sources, ingest_chunks, chat_export, completion_export, metadata_export, local_prompts, benchmark_pass, benchmark_rate, ab_score, ab_summary, ab_improved,
     )
 }
 ORACLE = {
@@ -281,11 +296,12 @@ SELECT source_id, CASE WHEN page_title <> '' THEN page_title ELSE 'Crawled Page
  CASE WHEN len(l) = 0 THEN 'women_health_general' ELSE array_to_string(list_filter(l, lambda x, i: list_position(l, x) = i), ';') END AS topic_tags, 'tier2' AS source_tier, 'web_scrape' AS document_type,
  trim(coalesce(publication_date, '')) AS publication_date, '2026-01-01' AS access_date, '2026-01-01' AS last_checked_date, 'retrieval_only' AS license_status, 'false' AS trainable_for_model_flag, 'true' AS retrieval_only_flag FROM o""",
     "ingest_chunks": _INGEST.replace("WITH p", "WITH RECURSIVE p", 1) + _CHUNKED,
-    "chat_export": _ROWS.replace("FROM interaction_examples)", f"FROM interaction_examples WHERE {_FILLED})").replace(", risk_level NULLS FIRST, review_status NULLS FIRST", "") + "SELECT interaction_id, trim(assistant_output) AS assistant, 3::BIGINT AS n_messages, raw_input AS question FROM rows",
-    "completion_export": _ROWS + f"SELECT interaction_id, md5('{X.COMPLETION_SYSTEM}' || chr(10) || 'Input: ' || raw_input || chr(10) || 'Extracted features: {{}}' || chr(10) || 'Target risk: ' || risk_level || chr(10) || 'Assistant:') AS prompt_md5, replace(trim(assistant_output), chr(10), '\\n') AS completion FROM rows WHERE {_FILLED}",
+    "chat_export": _ROWS + f", e AS (SELECT interaction_id, assistant_output, {_ASCII.format(c=_USER)} AS u FROM rows WHERE {_FILLED}) SELECT interaction_id, md5('{X.CHAT_SYSTEM}') AS system_md5, md5(u) AS user_md5, md5(trim(assistant_output)) AS assistant_md5, 'system,user,assistant' AS roles FROM e",
+    "completion_export": _ROWS + f"SELECT interaction_id, md5('{X.COMPLETION_SYSTEM}' || chr(10) || 'Input: ' || raw_input || chr(10) || 'Extracted features: ' || {_ASCII.format(c=_FEATURES)} || chr(10) || 'Target risk: ' || risk_level || chr(10) || 'Assistant:') AS prompt_md5, replace(trim(assistant_output), chr(10), '\\n') AS completion FROM rows WHERE {_FILLED}",
     "metadata_export": _ROWS + "SELECT interaction_id, data_origin, concat_ws('.', 'interactions', split) AS split_source, review_status, risk_level, raw_input, normalized_case_summary, coalesce(human_reviewed, false) AS human_reviewed, care_recommendation, abstained, coalesce(array_to_string(list_transform(citations, lambda x: coalesce(x, '?')), ';'), '') AS citations, risk_level AS label, split FROM rows",
     "local_prompts": _ROWS + f"SELECT interaction_id, md5('Question: ' || coalesce(raw_input, '') || chr(10) || 'Case summary: ' || coalesce(normalized_case_summary, '') || chr(10) || 'Answer:') AS prompt_md5 FROM rows WHERE {_FILLED}",
-    "benchmark_pass": _ROWS + f", best AS (SELECT risk_level AS expected_risk, arg_min(assistant_output, interaction_id) AS answer FROM rows WHERE assistant_output IS NOT NULL GROUP BY 1), b AS (SELECT *, lower(answer) AS low FROM benchmark_eval_set JOIN best USING (expected_risk)) SELECT benchmark_id, expected_risk NOT IN ('normal_variation') AND expected_risk IN ('routine_review', 'prompt_medical_review', 'urgent_care', 'emergency_care') AS level_ok, {_LABELS} AS labels_ok, len(list_filter(must_not_do, lambda p: contains(low, lower(p)))) = 0 AS clean FROM b",
+    "benchmark_pass": _BENCH + " SELECT * FROM passed",
+    "benchmark_rate": _BENCH + " SELECT count_if(level_ok AND labels_ok AND clean) AS n_passed, count(*) AS n_total FROM passed",
     "ab_score": _AB + " SELECT * FROM ab",
     "ab_summary": _AB + " SELECT count(*) AS n, " + ", ".join(f"sum({n}_{k})::BIGINT AS {n}_{k}" for n in "ab" for k in E.HEURISTICS) + ", round(avg(len_delta), 6) AS mean_len_delta, round(avg(word_delta), 6) AS mean_word_delta FROM ab",
     "ab_improved": _AB + " SELECT interaction_id, (b_has_follow_up - a_has_follow_up) + 0.5::DOUBLE * (b_has_education_disclaimer - a_has_education_disclaimer) AS gain FROM ab ORDER BY gain DESC, interaction_id LIMIT 5",

@@ -84,9 +84,9 @@ def validation_matrix(spark, d):
 _TOK = "regexp_extract_all(lower(text), '[a-z0-9]+')"
 
 
-def _bm25(weight: str = "1.0", where: str = "true", name: str = "best", questions: str = "benchmark_eval_set") -> str:
+def _bm25(weight: str = "1.0", where: str = "true", name: str = "best", questions: str = "benchmark_eval_set", docs: str = "documents") -> str:
     return f"""
-{name}_docs AS (SELECT doc_id, {_TOK} AS toks, {weight} AS prior FROM documents WHERE {where}),
+{name}_docs AS (SELECT doc_id, {_TOK} AS toks, {weight} AS prior FROM {docs} WHERE {where}),
 {name}_len AS (SELECT doc_id, prior, greatest(len(coalesce(toks, [])), 1) AS dl FROM {name}_docs),
 {name}_n AS (SELECT count(*) AS n, avg(dl) AS avgdl FROM {name}_len),
 {name}_tf AS (SELECT doc_id, term, count(*) AS tf FROM (SELECT doc_id, unnest(toks) AS term FROM {name}_docs) GROUP BY ALL),

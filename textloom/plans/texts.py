@@ -62,7 +62,7 @@ def name_domain(spark, d):
 
 
 def url_canonical(spark, d):
-    return table(spark, d, "health_pages").select("url", U.canonical(F.col("url"), ()).alias("canonical")).distinct()
+    return table(spark, d, "health_pages").select("url", U.canonical(F.col("url"), ()).alias("canonical"), U.canonical(F.col("url")).alias("canonical_kept")).distinct()
 
 
 def url_host(spark, d):
@@ -93,25 +93,27 @@ def host_cap_first_n(spark, d):
     return curation.first_n_per_group(pages, ["host"], [F.col("fetched_at"), F.col("page_id")], 3).select("host", "page_id")
 
 
-_HTML = [
-    (1, "https://A.example:8080/x/y.html?q=1#top", '<html lang="es-MX"><head><title> Dos  partes </title><meta name="date" content="2021-04-05T10:00"></head><body><main><p>Un texto de prueba bastante largo.</p><p>corto</p><a href="/z">z</a><a href=\'n?a=b\'>n</a><a href="mailto:a@b.example">m</a></main></body></html>'),
-    (2, "https://b.example/", "<html><body><h1>First head</h1><p>A paragraph that is longer than twenty.</p><a href=\"https://c.example/q#f\">c</a></body></html>"),
-    (3, "https://c.example/only", "no markup at all"),
-]
-
-
-def _pages(spark):
-    return spark.createDataFrame(_HTML, "page_id long, url string, html string")
+def _html(spark, d):
+    """Every page's content put into markup: title, language, date, a paragraph a line, and a link a line."""
+    p = table(spark, d, "health_pages").where("content is not null").select("page_id", "url", "title", "language", "publication_date", "content").distinct()
+    lines = F.transform(F.split("content", "\n"), lambda x: F.translate(x, "<>&\r", ""))
+    place = F.when(F.pmod("page_id", F.lit(2)) == 0, F.concat(F.lit('<meta name="citation_publication_date" content="'), F.coalesce("publication_date", F.lit("")), F.lit('">'))).otherwise(F.concat(F.lit("<time datetime='"), F.coalesce("publication_date", F.lit("")), F.lit("'>")))
+    head = F.concat(F.coalesce(F.concat(F.lit('<html lang="'), F.col("language"), F.lit('">')), F.lit("<html>")), F.lit("<head><title> "), F.translate(F.coalesce("title", F.lit("")), "<>&\r", ""), F.lit(" </title>"), place, F.lit("</head><body><main>"))
+    links = F.transform(lines, lambda x, i: F.concat(F.lit('<a class="l" href="'), F.when(i % 3 == 0, F.concat(F.lit("/topics/"), F.length(x).cast("string"))).when(i % 3 == 1, F.concat(F.lit("more?n="), F.length(x).cast("string"), F.lit("#part"))).otherwise("mailto:desk@site.example"), F.lit('">x</a>')))
+    body = F.array_join(F.transform(lines, lambda x: F.concat(F.lit("<p>"), x, F.lit("</p>"))), "\n")
+    return p.select("page_id", "url", F.concat(head, body, F.array_join(links, " "), F.lit("</main></body></html>")).alias("html"))
 
 
 def page_fields(spark, d):
     h, u = F.col("html"), F.col("url")
-    return _pages(spark).select("page_id", U.html_title(h, u).alias("title"), U.html_language(h).alias("language"), U.html_date(h).alias("published"), F.size(U.html_paragraphs(h)).cast("long").alias("n_paragraphs"), F.length(F.array_join(U.html_paragraphs(h), " ")).cast("long").alias("content_len"))
+    said = U.html_paragraphs(h)
+    return _html(spark, d).select("page_id", U.html_title(h, u).alias("title"), U.html_language(h).alias("language"), U.html_date(h).alias("published"), F.size(said).cast("long").alias("n_paragraphs"), F.length(F.array_join(said, " ")).cast("long").alias("content_len"), F.md5(F.array_join(said, " ")).alias("content_md5"))
 
 
 def page_links(spark, d):
-    links = _pages(spark).select("page_id", "url", F.posexplode(U.html_links(F.col("html"))).alias("pos", "link")).where("pos < 25")
-    return links.select("page_id", F.col("pos").cast("long").alias("pos"), U.without_fragment(U.absolute(F.col("link"), F.col("url"))).alias("target"))
+    """The first 25 links of each page that pass the filters."""
+    links = _html(spark, d).select("page_id", "url", F.posexplode(U.first_links(F.col("html"), F.col("url"), 25)).alias("pos", "target"))
+    return links.select("page_id", "url", F.col("pos").cast("long").alias("pos"), "target")
 
 
 def path_filter(spark, d):
@@ -137,6 +139,9 @@ def _chain(col: str, rules, default: str) -> str:
 _TOPICS = "list_filter([" + ", ".join("CASE WHEN " + " OR ".join(f"contains(a, {_q(p)})" for p in ps) + f" THEN {_q(v)} END" for v, ps in T.TOPICS) + "], lambda x: x IS NOT NULL)"
 _DOM = "replace(lower(split_part(split_part(regexp_replace(split_part(url, '#', 1), '^.*://', ''), '/', 1), '?', 1)), 'www.', '')"
 _BLOCK = " OR ".join(f"contains(lower(url), {_q(b)})" for b in U.BLOCKED) + " OR ends_with(url, '#')"
+_HTML = f"""WITH h AS (SELECT DISTINCT page_id, url, translate(coalesce(title, ''), '<>&' || chr(13), '') AS title, language, coalesce(publication_date, '') AS publication_date, list_transform(string_split(content, chr(10)), lambda x: translate(x, '<>&' || chr(13), '')) AS lines FROM health_pages WHERE content IS NOT NULL),
+s AS (SELECT *, list_filter(list_transform(lines, lambda x: trim(regexp_replace(x, {_q(_WS)}, ' ', 'g'))), lambda x: length(x) > 20) AS said FROM h)
+"""
 QUERIES = {f.__name__: f for f in (normalize_ws, slugify, strip_tags, sentence_split, sentence_dedup, clean_text, first_lines, license_norm, topic_infer, org_infer, name_domain, url_canonical, url_host, url_filter, host_counts, host_allowed, host_cap_first_n, page_fields, page_links, path_filter)}
 ORACLE = {
     "normalize_ws": f"SELECT DISTINCT page_id, md5(trim(regexp_replace(content, '{_WS}', ' ', 'g'))) AS text_md5 FROM health_pages",
@@ -150,14 +155,17 @@ ORACLE = {
     "topic_infer": f"WITH p AS (SELECT page_id, lower(concat_ws(' ', url, title)) AS a FROM health_pages), t AS (SELECT page_id, {_TOPICS} AS l FROM p), o AS (SELECT page_id, list_filter(l, lambda x, i: list_position(l, x) = i) AS l FROM t) SELECT DISTINCT page_id, CASE WHEN len(l) = 0 THEN 'women_health_general' ELSE array_to_string(l, ';') END AS topics FROM o",
     "org_infer": f"SELECT {_chain('lower(url)', T.ORGANISATIONS, 'web')} AS organization, count(*) AS n FROM source_catalog GROUP BY 1",
     "name_domain": f"SELECT DISTINCT source, {_chain('lower(source)', T.NAME_DOMAINS, 'women_health_general')} AS domain_group FROM documents",
-    "url_canonical": "WITH u AS (SELECT DISTINCT url, regexp_extract(url, '^([a-z]+)://', 1) AS s, lower(regexp_extract(url, '^[a-z]+://([^/?#]*)', 1)) AS h, regexp_extract(url, '^[a-z]+://[^/?#]*([^?#]*)', 1) AS p, list_filter(string_split(regexp_extract(url, '^[^?#]*[?]([^#]*)', 1), '&'), lambda x: x <> '' AND NOT starts_with(x, 'utm_')) AS q FROM health_pages) SELECT url, s || '://' || h || CASE WHEN length(p) > 1 THEN regexp_replace(p, '/$', '') ELSE p END || CASE WHEN len(q) > 0 THEN '?' || array_to_string(q, '&') ELSE '' END AS canonical FROM u",
+    "url_canonical": "WITH u AS (SELECT DISTINCT url, regexp_extract(url, '^([a-z]+)://', 1) AS s, lower(regexp_extract(url, '^[a-z]+://([^/?#]*)', 1)) AS h, regexp_extract(url, '^[a-z]+://[^/?#]*([^?#]*)', 1) AS p, list_filter(string_split(regexp_extract(url, '^[^?#]*[?]([^#]*)', 1), '&'), lambda x: x <> '' AND NOT starts_with(x, 'utm_')) AS q, list_filter(string_split(regexp_extract(url, '^[^?#]*[?]([^#]*)', 1), '&'), lambda x: x <> '' AND (NOT starts_with(x, 'utm_') OR split_part(x, '=', 1) IN ('utm_medium', 'utm_source', 'utm_campaign'))) AS q2 FROM health_pages), v AS (SELECT url, s || '://' || h || CASE WHEN length(p) > 1 THEN regexp_replace(p, '/$', '') ELSE p END AS r, q, q2 FROM u) SELECT url, r || CASE WHEN len(q) > 0 THEN '?' || array_to_string(q, '&') ELSE '' END AS canonical, r || CASE WHEN len(q2) > 0 THEN '?' || array_to_string(q2, '&') ELSE '' END AS canonical_kept FROM v",
     "url_host": f"SELECT DISTINCT url, lower(regexp_extract(url, '^[a-z]+://([^/?#]*)', 1)) AS netloc, {_DOM} AS domain FROM health_pages",
     "url_filter": f"SELECT ({_BLOCK}) AS blocked, count(*) AS n FROM health_pages GROUP BY 1",
     "host_counts": f"SELECT {_DOM} AS host, count(DISTINCT page_id) AS n FROM health_pages GROUP BY 1 ORDER BY n DESC, host LIMIT 5",
     "host_allowed": f"SELECT DISTINCT page_id FROM health_pages WHERE regexp_matches({_DOM}, '(^|[.])(org[.]example|health[.]example|test)$')",
     "host_cap_first_n": f"WITH f AS (SELECT page_id, url, fetched_at FROM (SELECT *, row_number() OVER (PARTITION BY page_id ORDER BY fetched_at, url) AS r FROM health_pages) WHERE r = 1), h AS (SELECT {_DOM} AS host, page_id, fetched_at FROM f) SELECT host, page_id FROM (SELECT *, row_number() OVER (PARTITION BY host ORDER BY fetched_at, page_id) AS r FROM h) WHERE r <= 3",
     "path_filter": "SELECT (" + " OR ".join(f"contains(lower(url), {_q(k)})" for k in U.PATH_KEYWORDS) + ") AS allowed, count(DISTINCT page_id) AS n FROM health_pages GROUP BY 1",
-    "page_fields": "SELECT * FROM (VALUES (1::BIGINT, 'Dos partes', 'es', '2021-04-05', 1::BIGINT, 34::BIGINT), (2, 'First head', 'en', '', 1, 39), (3, 'Crawled Page: https://c.example/only', 'en', '', 0, 0)) AS t(page_id, title, language, published, n_paragraphs, content_len)",
-    "page_links": "SELECT * FROM (VALUES (1::BIGINT, 0::BIGINT, 'https://a.example:8080/z'), (1, 1, 'https://a.example:8080/x/n?a=b'), (2, 0, 'https://c.example/q')) AS t(page_id, pos, target)",
+    "page_fields": _HTML + f"""SELECT DISTINCT page_id, CASE WHEN trim(title) <> '' THEN trim(regexp_replace(title, {_q(_WS)}, ' ', 'g')) ELSE 'Crawled Page: ' || url END AS title, coalesce(lower(substr(nullif(regexp_extract(language, '^[A-Za-z-]+'), ''), 1, 2)), 'en') AS language,
+ CASE WHEN length(publication_date) >= 4 AND NOT regexp_matches(publication_date, '["'']') THEN split_part(trim(publication_date), 'T', 1) ELSE '' END AS published, len(said) AS n_paragraphs, length(array_to_string(said, ' ')) AS content_len, md5(array_to_string(said, ' ')) AS content_md5 FROM s""",
+    "page_links": _HTML + """, l AS (SELECT DISTINCT page_id, url, lines FROM s), e AS (SELECT page_id, url, generate_subscripts(lines, 1) - 1 AS i, length(unnest(lines)) AS n FROM l),
+ k AS (SELECT page_id, url, row_number() OVER (PARTITION BY page_id, url ORDER BY i) - 1 AS pos, regexp_extract(url, '^[a-z]+://') || lower(regexp_extract(url, '^[a-z]+://([^/?#]*)', 1)) AS root, regexp_extract(url, '^[a-z]+://[^/?#]*([^?#]*)', 1) AS p, i, n FROM e WHERE i % 3 < 2)
+ SELECT page_id, url, pos, root || CASE WHEN i % 3 = 0 THEN '/topics/' || n ELSE CASE WHEN p = '' THEN '/' ELSE regexp_replace(p, '[^/]*$', '') END || 'more?n=' || n END AS target FROM k WHERE pos < 25""",
 }
 ORACLE = {k: plain_trim(q) for k, q in ORACLE.items()}
