@@ -129,23 +129,57 @@ def test_pages_without_content(spark):
 # -- problem 7
 
 
-def test_covered_equals_counting():
-    rng = random.Random(3)
-    tokens, owner = [], []
-    for p in range(12):
-        for _ in range(rng.randint(1, 40)):
-            tokens.append(rng.randint(0, 3))
-            owner.append(p)
-    for least in (2, 4):
-        seen = defaultdict(set)
-        for k in range(len(tokens) - 3):
-            if owner[k] == owner[k + 3]:
-                seen[tuple(tokens[k : k + 4])].add(owner[k])
-        want = np.zeros(len(tokens), bool)
-        for k in range(len(tokens) - 3):
-            if owner[k] == owner[k + 3] and len(seen[tuple(tokens[k : k + 4])]) >= least:
-                want[k : k + 4] = True
-        assert (B.covered(np.array(tokens), np.array(owner), least) == want).all()
+@pytest.mark.parametrize("seed", range(12))
+def test_repeated_runs_equal_counting(seed):
+    rng = random.Random(seed)
+    lines, texts, owner = [], [], []
+    for t in range(14):
+        for _ in range(rng.randint(0, 30)):
+            lines.append(rng.randint(1, 2 if seed % 2 else 5))
+            texts.append(t)
+            owner.append(t // 2)  # two texts of a page
+    n = len(lines)
+    for least in (2, 4, 8):
+        want, length = np.zeros(n, int), 1
+        while length <= n:
+            seen = defaultdict(set)
+            runs = [k for k in range(n - length + 1) if texts[k] == texts[k + length - 1]]
+            for k in runs:
+                seen[tuple(lines[k : k + length])].add(owner[k])
+            for k in runs:
+                if len(seen[tuple(lines[k : k + length])]) >= least:
+                    want[k : k + length] = length
+            length *= 2
+        got = B.repeated_runs(np.array(lines, np.uint64), np.array(texts), np.array(owner), least)
+        assert got.tolist() == want.tolist()
+
+
+def lettered(n):
+    """A number in letters: digits are all one to the operator."""
+    return "".join(chr(97 + int(c)) for c in str(n))
+
+
+@pytest.mark.parametrize("size", [400, 20])
+def test_repetition_removes_notices_of_any_wording(spark, monkeypatch, size):
+    """Words that are in no list; on small and on cut hosts. Headings and copies of whole pages stay."""
+    monkeypatch.setattr(B, "PAGES", size)
+    rows = []
+    for n in range(60):
+        k = lettered(n)
+        body = [f"Qualm v{k}a zorbt den w{k}b Falter mit x{k}c und y{k}d an jedem Abend im Tal.", f"Der z{k}e Falter ruht bei u{k}f und t{k}g bis zum Ende von Woche s{k}h im Nest."]
+        text = ["Vornak tuli besam ord, ek lumi saran ti fel nakuro vessa danta.", "Zorbung", body[0], "Falterkunde", body[1], "Mirsa tolvan", "Kesta ulmo"]
+        rows.append((n, f"https://falter.example/{k}", None, "\n".join(text), None))
+    copy = "Ein einziger langer Satz, der auf vielen Seiten dieses Hauses steht.\nEin zweiter langer Satz, der auch auf vielen Seiten des Hauses steht."
+    rows += [(100 + k, f"https://kopie.example/{k}", None, copy, None) for k in range(5)]
+    got = {(r["page"], r["line_no"]) for r in B.page_furniture(frame(spark, rows), "page_id", "content", "title", ["canonical_url", "url"]).collect()}
+    assert got == {(k, n) for k in range(60) for n in (1, 6, 7)}
+
+
+def test_title_beginnings_and_ends(spark):
+    titles = [(f"Tales of w{k} and v{k}",) for k in range(60)] + [(f"w{k}x v{k}: all there is",) for k in range(60)] + [("Other word here",)] * 2 + [(None,), ("",)]
+    counts = B.title_counts(spark.createDataFrame(titles, "title string"))
+    like = B.Titles(counts, int(counts[0].sum())).like
+    assert like("tales of something new") and like("something new all there is") and not like("other word") and not like("tales") and not like("w1 word")
 
 
 PAGE = """Accept all
@@ -185,10 +219,11 @@ def test_furniture_of_a_page_and_its_body(spark):
 def test_furniture_does_not_depend_on_the_blocks_of_a_host(spark, monkeypatch):
     rows = []
     for k in range(200):
-        body = f"Page w{k}a tells in its own v{k}b words how x{k}c and y{k}d came to be what they are."
-        notice = "Zebra corner opens soon\nMenu\n" if k % 40 == 0 else f"Own q{k} start r{k} here\nMenu\n"
-        link = f"Tale of moon m{(k + 1) % 200}x"
-        title = f"Tale of moon m{k}x" if k % 2 else None
+        n = lettered(k)
+        body = f"Page w{n}a tells in its own v{n}b words how x{n}c and y{n}d came to be what they are."
+        notice = "Zebra corner opens soon\nMenu\n" if k % 40 == 0 else f"Own q{n} start r{n} here\nMenu\n"
+        link = f"Tale of moon m{lettered((k + 1) % 200)}x"
+        title = f"Tale of moon m{n}x" if k % 2 else None
         rows.append((k, f"https://large.example/{k}", None, (f"{title}\n" if title else notice) + body + "\n" + link, title))
     rows += [(k, f"https://large.example/{k}", None, f"Other text {k} " * 9, None) for k in range(3)]
     want = None
