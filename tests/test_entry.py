@@ -25,7 +25,7 @@ def test_flagship(spark):
 
 
 @pytest.mark.skipif(not os.path.exists(SMALL), reason="no test tables")
-@pytest.mark.parametrize("name", ["p4_found", "p4_report", "chunk_documents", "corpus_union", "clean_text", "ingest_chunks", "ab_summary", "extract_features", "split_routing"])
+@pytest.mark.parametrize("name", ["p4_found", "p4_report", "chunk_documents", "corpus_union", "clean_text", "ingest_chunks", "ab_summary", "extract_features", "split_routing", "benchmark_pass", "page_fields", "page_links", "json_lines_kept", "csv_kept", "paged_candidates", "crawled_pages", "stream_ingested", "p4_upkeep"])
 def test_queries_equal_their_sql(spark, name):
     import duckdb
     import pandas as pd

@@ -123,7 +123,59 @@ def test_ingest_new_adds_each_content_once(spark, tmp_path):
     T.ingest_new(stream, "t", place)
     spark.createDataFrame([("b",), ("c",)], "t string").write.parquet(f"{folder}/2")
     T.ingest_new(stream, "t", place)
-    assert sorted(r["t"] for r in K.current_version(spark, place).collect()) == ["a", "b", "c"]
+    assert sorted(r["t"] for r in T.batches(spark, place).collect()) == ["a", "b", "c"]
+
+
+def test_a_batch_delivered_again_adds_nothing(spark, tmp_path):
+    place = f"{tmp_path}/state"
+    spark.createDataFrame([("k", 1, 0), ("j", 1, 1)], "key string, refs long, exist long").write.parquet(f"{tmp_path}/d")
+    stream = spark.readStream.schema("key string, refs long, exist long").parquet(f"{tmp_path}/d")
+    T.keep_reference_counts(stream, place)
+    # the commit of the batch is lost: the next run gives it again
+    for f in os.listdir(f"{place}-log/commits"):
+        os.remove(f"{place}-log/commits/{f}")
+    T.keep_reference_counts(stream, place)
+    assert {tuple(r) for r in T.reference_counts(spark, place).collect()} == {("k", 1, 0), ("j", 1, 1)}
+
+
+def test_a_failed_read_is_no_empty_state(spark, tmp_path):
+    folder, place = f"{tmp_path}/in", f"{tmp_path}/out"
+    spark.createDataFrame([("a",)], "t string").write.parquet(f"{folder}/1")
+    stream = spark.readStream.schema("t string").option("recursiveFileLookup", True).parquet(folder)
+    T.ingest_new(stream, "t", place)
+    spark.createDataFrame([("b",)], "t string").write.parquet(f"{folder}/2")
+    for root, _, names in os.walk(place):
+        for n in names:
+            if n.endswith(".parquet"):
+                with open(f"{root}/{n}", "wb") as f:
+                    f.write(b"no parquet")
+                os.remove(f"{root}/.{n}.crc")
+    with pytest.raises(Exception):
+        T.ingest_new(stream, "t", place)
+    assert T.batches(spark, f"{tmp_path}/nothing") is None
+
+
+def test_pace_keeps_the_rate():
+    now, slept = [0.0], []
+
+    def sleep(x):
+        slept.append(x)
+        now[0] += x
+
+    pace = P.Pace(4, clock=lambda: now[0], sleep=sleep)
+    for _ in range(5):
+        pace.wait()
+    assert sum(slept) == pytest.approx(1.0)
+
+
+def test_checkpoints_need_a_shared_folder_on_a_cluster():
+    from types import SimpleNamespace
+
+    from textloom.session import checkpoint_root
+
+    sc = SimpleNamespace(master="spark://host:7077", getCheckpointDir=lambda: None)
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        checkpoint_root(SimpleNamespace(sparkContext=sc, conf=SimpleNamespace(get=lambda *_: None)))
 
 
 def test_cap_and_upkeep_streams(spark, tmp_path):
@@ -132,7 +184,7 @@ def test_cap_and_upkeep_streams(spark, tmp_path):
     assert {r["host"]: r["count"] for r in rows.groupBy("host").count().collect()} == {"h": 4, "g": 1}
     spark.createDataFrame([("k", 1, 0), ("j", 1, 0), ("j", 0, 1)], "key string, refs long, exist long").write.parquet(f"{tmp_path}/d")
     T.keep_reference_counts(spark.readStream.schema("key string, refs long, exist long").parquet(f"{tmp_path}/d"), f"{tmp_path}/state")
-    assert [r["key"] for r in current_orphans(K.current_version(spark, f"{tmp_path}/state")).collect()] == ["k"]
+    assert [r["key"] for r in current_orphans(T.reference_counts(spark, f"{tmp_path}/state")).collect()] == ["k"]
 
 
 def test_pipeline_orders_steps_and_keeps_versions(spark, tmp_path):

@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from .plans import curation, extras, features, orphans, pipeline, retrieval, texts
+from .plans import curation, exchange, extras, features, orphans, pipeline, retrieval, texts
 
 FLAGSHIP = "bm25_topk"
-_MODULES = (orphans, retrieval, texts, curation, features, extras, pipeline)
+_MODULES = (orphans, retrieval, texts, curation, features, extras, pipeline, exchange)
 
 
 def queries() -> dict:

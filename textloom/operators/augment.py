@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import digest_bucket, strip_fragments
+from .curation import numbered
 
 
 def pick(key: Column, salt: str, options: Sequence[str]) -> Column:
@@ -43,17 +44,26 @@ def scaled(templates: DataFrame, target: int, suffixes: Sequence[tuple[str, int]
     make as many. Rows are made by a range, so their number does not pass through the driver.
     """
     n = templates.count()
-    numbered = templates.select("*", (F.row_number().over(_all_by_digest(templates)) - 1).alias("_t"))
+    order = F.md5(F.concat_ws("|", *(F.col(c).cast("string") for c in templates.columns)))
+    places = numbered(templates.withColumn("_by", order), ["_by"], "_t").withColumn("_t", (F.col("_t") - 1).cast("int")).drop("_by")
     rows = templates.sparkSession.range(2 * target).withColumn("_t", F.pmod(F.col("id"), F.lit(max(n, 1))).cast("int"))
     k = F.col("id").cast("string")
     extra = [F.when(chance(k, s, p), F.lit(s)) for s, p in suffixes]
-    made = rows.join(F.broadcast(numbered), "_t").withColumn(text, F.concat_ws(" ", F.col(text), *extra))
+    made = rows.join(places, "_t").withColumn(text, F.concat_ws(" ", F.col(text), *extra))
     once = made.groupBy(text).agg(F.min_by(F.struct(*made.columns), "id").alias("r")).select("r.*")
     return once.orderBy("id").limit(target).withColumnRenamed("id", "row_no").drop("_t")
 
 
-def _all_by_digest(templates: DataFrame):
-    from pyspark.sql import Window
 
-    # templates are a short list kept by hand; the whole of it is one window
-    return Window.orderBy(F.md5(F.concat_ws("|", *(F.col(c).cast("string") for c in templates.columns))))
+def summary(hint: Column, parts: Sequence[tuple[Column, Column]], text: Column, most: int = 140) -> Column:
+    """The hint where it is filled; else the texts of the parts whose condition holds; else the text's beginning."""
+    said = F.filter(F.array(*(F.when(F.coalesce(c, F.lit(False)), t) for c, t in parts)), lambda x: x.isNotNull())
+    return F.when(F.coalesce(hint, F.lit("")) != "", hint).when(F.size(said) > 0, F.array_join(said, "; ")).otherwise(F.substring(text, 1, most))
+
+
+def rebuilt(df: DataFrame, key: str, text: str, slots: Sequence[Sequence[str]], fragments: Sequence[str], context: Column | None = None) -> DataFrame:
+    """Fixed fragments stripped, the rest put between picked openers (all slots but the last) and a picked closer, and the context before."""
+    k = F.col(key).cast("string")
+    picked = [pick(k, f"slot{i}", options) for i, options in enumerate(slots)]
+    body = F.concat_ws(" ", *picked[:-1], F.nullif(strip_fragments(F.col(text), fragments), F.lit("")), picked[-1])
+    return df.withColumn(text, prepended(body, context) if context is not None else body)

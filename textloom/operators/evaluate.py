@@ -121,5 +121,6 @@ def parse_generation(out: Column) -> Column:
 
     ruled = F.regexp_extract(out, rf"(?s){RULE}\n(.*?)\n(?:{RULE}\n)?{PROMPT_MARK}", 1)
     ruled = F.regexp_replace(ruled, rf"\n?{RULE}\s*$", "")
-    text = F.when(F.trim(ruled) != "", F.trim(ruled)).otherwise(F.trim(F.split(out, PROMPT_MARK)[0]))
+    ruled, before = (F.trim(x, F.lit(" \n\r\t")) for x in (ruled, F.split(out, PROMPT_MARK)[0]))
+    text = F.when(ruled != "", ruled).otherwise(before)
     return F.struct(F.nullif(text, F.lit("")).alias("answer"), number("Generation").alias("gen_tps"), number("Prompt").alias("prompt_tps"))

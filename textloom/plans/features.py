@@ -25,7 +25,7 @@ def extract_features(spark, d):
 
 
 def extract_ages(spark, d):
-    """Ages have context conditions that the SQL engine's patterns cannot say: rows only."""
+    """Stated ages without a span of time next to them, and hours of sleep."""
     return X.extract(_inputs(spark, d), "id", "text").select("id", "age_years", "sleep_hours")
 
 
@@ -76,8 +76,22 @@ def _pick(salt: str, options, key: str = "interaction_id") -> str:
     return "[" + ", ".join(_q(o) for o in options) + f"][('0x' || substr(md5('{salt}' || {key}), 1, 8))::BIGINT % {len(options)} + 1]"
 
 
+# the pattern without its look-around, which the SQL engine lacks: what stands next to a match is cut out and looked at
+_STATED = r"^(?:i['’]?\s*am|i['’]?\s*m|my age|age)\s*(?:is)?\s*(\d{1,3})(?:\s*years?\b|\b)"
+_NEAR = "contains({c}, 'day') OR contains({c}, 'week') OR contains({c}, 'month')"
+_AGES = f"""WITH i AS (SELECT DISTINCT id, lower(text) AS t FROM (SELECT interaction_id AS id, raw_input AS text FROM interaction_examples UNION ALL SELECT benchmark_id, input FROM benchmark_eval_set) WHERE text IS NOT NULL),
+p AS (SELECT id, t, unnest(range(1, length(t) + 1)) AS i FROM i), w AS (SELECT id, t, i, substr(t, i, 60) AS r FROM p WHERE substr(t, i, 1) IN ('i', 'm', 'a') AND (i = 1 OR NOT regexp_matches(substr(t, i - 1, 1), '[a-z0-9_]'))),
+m AS (SELECT id, i, regexp_extract(r, {_q(_STATED)}) AS whole, try_cast(regexp_extract(r, {_q(_STATED)}, 1) AS INT) AS n, t FROM w WHERE regexp_matches(r, {_q(_STATED)})),
+a AS (SELECT id, t, arg_min(n, i) AS n FROM (SELECT *, substr(t, i + length(whole), 10) AS after, substr(t, greatest(i - 12, 1), least(12, i - 1)) AS before FROM m) WHERE n BETWEEN 8 AND 90 AND NOT ({_NEAR.format(c="after")}) AND NOT ({_NEAR.format(c="before")}) GROUP BY id, t)
+SELECT id, a.n AS age_years, coalesce({_num(X.SLEEP, 1, "DOUBLE")}, {_num(X.SLEEP, 2, "DOUBLE")}) AS sleep_hours FROM i LEFT JOIN a USING (id, t)"""
+_TAKEN = " || ".join(f"CASE WHEN ('0x' || substr(md5({_q(x)} || id), 1, 8))::BIGINT % 100 < {n} THEN ' ' || {_q(x)} ELSE '' END" for x, n in _SUFFIXES)
+_SCALED = f"""WITH t AS (SELECT benchmark_id, input, row_number() OVER (ORDER BY md5(concat_ws('|', benchmark_id, input))) - 1 AS k, count(*) OVER () AS n FROM benchmark_eval_set),
+m AS (SELECT id, benchmark_id, input || {_TAKEN} AS raw_input FROM (SELECT range AS id FROM range(2000)) JOIN t ON id % n = k), f AS (SELECT raw_input, min(id) AS id FROM m GROUP BY 1)
+SELECT m.id AS row_no, benchmark_id, m.raw_input FROM m JOIN f ON m.id = f.id AND m.raw_input = f.raw_input ORDER BY 1 LIMIT 1000"""
 QUERIES = {f.__name__: f for f in (extract_features, extract_ages, varied_answers, scaled_interactions)}
 ORACLE = {
     "extract_features": _SQL,
+    "extract_ages": _AGES,
+    "scaled_interactions": _SCALED,
     "varied_answers": f"SELECT DISTINCT interaction_id, {_pick('open', _OPEN)} || ' ' || trim(regexp_replace(replace(assistant_output, 'Thank you for writing.', ''), '[ \\t\\n\\x0B\\f\\r\\x85\\p{{Z}}]+', ' ', 'g'), ' ') || ' ' || {_pick('close', _CLOSE)} AS assistant_output FROM interaction_examples WHERE assistant_output IS NOT NULL",
 }

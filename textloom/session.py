@@ -31,12 +31,14 @@ def get_session(app: str = "textloom", cpus: str | None = None) -> SparkSession:
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder for written intermediate results.
 
-    Taken from ``spark.checkpoint.dir``; only where that is unset (tests on one machine)
-    a temporary folder is made and set.
+    Taken from ``spark.checkpoint.dir``; only where that is unset and all tasks run in this
+    process (tests) a temporary folder is made and set. On a cluster it must be set.
     """
     sc = spark.sparkContext
     root = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not root:
+        if sc.master != "local" and not sc.master.startswith("local["):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         root = tempfile.mkdtemp(prefix="textloom-checkpoint-")
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(root)

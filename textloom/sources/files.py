@@ -41,7 +41,7 @@ def json_lines(spark: SparkSession, path: str, schema: StructType | str, mode: s
 
 def csv_strings(spark: SparkSession, path: str) -> DataFrame:
     """CSV with a header; every value stays a string; quoted commas and line breaks are read."""
-    return spark.read.option("header", True).option("multiLine", True).option("quote", '"').option("escape", '"').csv(path)
+    return spark.read.options(header=True, multiLine=True, quote='"', escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False).csv(path)
 
 
 def text_lines(spark: SparkSession, path: str, comment: str | None = None) -> DataFrame:

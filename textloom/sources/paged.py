@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
+from ..functions.text import normal_license
 from ..session import checkpointed, map_pandas, ship
 
 
@@ -37,6 +38,29 @@ def with_retry(call, *args, tries: int = 4, wait: float = 0.5):
             time.sleep(wait * 2**k)
 
 
+class Pace:
+    """At most ``rate`` calls a second in a task; a source's limit is to be parted by the tasks that call it."""
+
+    def __init__(self, rate: float | None, clock=time.monotonic, sleep=time.sleep):
+        self.gap, self.next, self.clock, self.sleep = 1 / rate if rate else 0.0, None, clock, sleep
+
+    def wait(self) -> None:
+        now = self.clock()
+        if self.gap and self.next is not None and self.next > now:
+            self.sleep(self.next - now)
+            now = self.next
+        self.next = now + self.gap
+
+
+def folder_record(key: str, options: dict) -> str | None:
+    """The text of ``<folder>/<key>.json``; null where there is none."""
+    at = os.path.join(options["folder"], f"{key}.json")
+    if not os.path.exists(at):
+        return None
+    with open(at, encoding="utf-8") as f:
+        return f.read()
+
+
 def folder_page(query: str, cursor: str, options: dict) -> dict[str, Any]:
     """A page from ``<folder>/<query>_<cursor>.json``: {"results": [...], "next": cursor or null}."""
     with open(os.path.join(options["folder"], f"{query}_{cursor.strip('*') or 'first'}.json"), encoding="utf-8") as f:
@@ -59,7 +83,9 @@ class _Reader(DataSourceReader):
     def read(self, partition):
         fetch = _function(self.options["fetch"])
         cursor, left = "*", int(self.options.get("max_pages", 1_000_000))
+        pace = Pace(float(self.options.get("rate", 0)) or None)
         while cursor and left:
+            pace.wait()
             page = with_retry(fetch, partition.query, cursor, self.options)
             for row in page.get("results", []):
                 yield (partition.query, json.dumps(row, sort_keys=True))
@@ -98,14 +124,22 @@ def candidates(records: DataFrame) -> DataFrame:
 
 
 def _lookup(it, fetch: str, options: dict):
-    call = _function(fetch)
+    call, pace = _function(fetch), Pace(options.get("rate"))
+
+    def one(k):
+        pace.wait()
+        return with_retry(call, k, options)
+
     for pdf in it:
         keys = pdf["key"].tolist()
-        yield pd.DataFrame({"key": keys, "value": [None if k is None else with_retry(call, k, options) for k in keys]})
+        yield pd.DataFrame({"key": keys, "value": [one(k) for k in keys]}, dtype="object")
 
 
 def lookup(keys: DataFrame, key: str, fetch: str, **options) -> DataFrame:
-    """(key, value): a value per distinct key; what is not found is null. Join it back by key."""
+    """(key, value): a value per distinct key; what is not found is null. Join it back by key.
+
+    ``rate`` among the options is the most calls a second of a task.
+    """
     once = keys.select(F.col(key).cast("string").alias("key")).where("key is not null").distinct()
     return map_pandas(once, partial(_lookup, fetch=fetch, options=options), "key string, value string")
 
@@ -118,6 +152,22 @@ def enrich(rows: DataFrame, found: DataFrame, key: str, columns: list[str], sche
     return out.withColumns(new).withColumn("enriched", F.col("_v").isNotNull()).drop("_v")
 
 
+def eligible(rows: DataFrame, licences: DataFrame, license_col: str = "license", id_col: str = "pmcid") -> DataFrame:
+    """Enriched rows with an id whose licence, in its normal spelling, is in ``licences`` (license)."""
+    fine = licences.select(normal_license(F.col("license")).alias("_license")).distinct()
+    kept = rows.where(F.col("enriched") & (F.trim(F.coalesce(id_col, F.lit(""))) != "")).withColumn("_license", normal_license(F.col(license_col)))
+    return kept.join(fine, "_license", "left_semi").drop("_license")
+
+
+def to_enrich(rows: DataFrame, refresh: bool = False, most: int | None = None) -> DataFrame:
+    """Rows with a ``doi`` that were not enriched, with ``refresh`` also those without a licence; the first ``most`` by doi."""
+    open_ = ~F.coalesce("enriched", F.lit(False))
+    if refresh:
+        open_ = open_ | (F.trim(F.coalesce("license", F.lit(""))) == "")
+    out = rows.where((F.trim(F.coalesce("doi", F.lit(""))) != "") & open_)
+    return out.orderBy("doi").limit(most) if most else out
+
+
 def crawl(seeds: DataFrame, links: DataFrame, max_depth: int = 3, per_page: int = 25, per_host: int = 4000, allowed: DataFrame | None = None) -> DataFrame:
     """(url, depth): breadth-first over a table of links (url, pos, target), each URL once.
 

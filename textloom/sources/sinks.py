@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import json
-import os
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,7 +14,8 @@ def write_json_lines(df: DataFrame, path: str, mode: str = "overwrite") -> None:
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    df.write.mode(mode).option("header", True).option("quote", '"').option("escape", '"').csv(path)
+    """CSV with a header in every file; quotes are doubled, white space around values stays."""
+    df.write.mode(mode).options(header=True, quote='"', escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False).csv(path)
 
 
 def write_splits(df: DataFrame, path: str, column: str = "split") -> None:
@@ -48,28 +48,48 @@ def write_version(df: DataFrame, root: str) -> str:
     return at
 
 
-def current_version(spark: SparkSession, root: str) -> DataFrame:
+def _versions(spark: SparkSession, root: str) -> list[str]:
     fs, base = _fs(spark, root)
-    names = sorted(f.getPath().getName() for f in fs.listStatus(base))
-    names = [x for x in names if x.startswith("v") and x[1:].isdigit()]
+    names = sorted(f.getPath().getName() for f in fs.listStatus(base)) if fs.exists(base) else []
+    return [x for x in names if x.startswith("v") and x[1:].isdigit()]
+
+
+def current_version(spark: SparkSession, root: str) -> DataFrame:
+    """The last version; FileNotFoundError where there is none, and no other error."""
+    names = _versions(spark, root)
     if not names:
         raise FileNotFoundError(f"no version under {root}")
     return spark.read.parquet(f"{root}/{names[-1]}")
 
 
+def drop_versions(spark: SparkSession, root: str, keep: int = 2) -> None:
+    """Removes all but the last ``keep`` versions."""
+    fs, _ = _fs(spark, root)
+    for x in _versions(spark, root)[: -max(keep, 1)]:
+        fs.delete(_fs(spark, f"{root}/{x}")[1], True)
+
+
 def _save(rows, folder: str, suffix: str):
-    os.makedirs(folder, exist_ok=True)
+    from pyarrow import fs as arrow_fs
+
+    # a path without a scheme is a folder that all executors see, as for Spark's own writers
+    fs, base = arrow_fs.FileSystem.from_uri(folder if "://" in folder or folder.startswith("/") else f"/{folder}")
+    fs.create_dir(base, recursive=True)
     for r in rows:
-        at = os.path.join(folder, f"{r['key']}{suffix}")
-        if not os.path.exists(at):
-            with open(f"{at}.part", "w", encoding="utf-8") as f:
-                f.write(r["value"])
-            os.replace(f"{at}.part", at)
+        at = f"{base}/{r['key']}{suffix}"
+        if fs.get_file_info(at).type == arrow_fs.FileType.NotFound:
+            with fs.open_output_stream(f"{at}.part") as f:
+                f.write(bytes(r["value"]))
+            fs.move(f"{at}.part", at)
 
 
 def write_file_per_key(df: DataFrame, key: str, value: str, folder: str, suffix: str = ".xml") -> None:
-    """One file per key in a shared folder; files that are there are kept, a repeated task does no harm."""
-    df.select(F.col(key).cast("string").alias("key"), F.col(value).alias("value")).where("key is not null and value is not null").foreachPartition(lambda rows: _save(rows, folder, suffix))
+    """One file per key in a shared folder or object store; text as UTF-8, binary as it is.
+
+    Files that are there are kept, so a repeated task does no harm; null keys and values write nothing.
+    """
+    rows = df.select(F.col(key).cast("string").alias("key"), F.col(value).cast("binary").alias("value")).where("key is not null and value is not null")
+    rows.foreachPartition(lambda part: _save(part, folder.removeprefix("file://") if folder.startswith("file:///") else folder, suffix))
 
 
 def manifest(df: DataFrame, counts: dict, **facts) -> DataFrame:
@@ -79,7 +99,11 @@ def manifest(df: DataFrame, counts: dict, **facts) -> DataFrame:
 
 
 def write_manifest(df: DataFrame, path: str) -> None:
-    """The one row of ``manifest`` as a JSON file."""
-    with open(path, "w", encoding="utf-8") as f:
-        json.dump(json.loads(df.first()["manifest"]), f, indent=2, sort_keys=True)
-        f.write("\n")
+    """The one row of ``manifest`` as a JSON file, on the file system of the path."""
+    text = json.dumps(json.loads(df.first()["manifest"]), indent=2, sort_keys=True) + "\n"
+    fs, at = _fs(df.sparkSession, path)
+    out = fs.create(at, True)
+    try:
+        out.write(bytearray(text.encode()))
+    finally:
+        out.close()

@@ -11,7 +11,7 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from ..operators.references import merge_counts
 from ..session import checkpoint_root, ship
-from ..sources.sinks import current_version, write_version
+from ..sources.files import path_exists
 
 
 def _place(spark: SparkSession, place: str | None) -> str:
@@ -34,23 +34,50 @@ def once_per_content(stream: DataFrame, text: str) -> DataFrame:
     return stream.withColumn("content_sha256", F.sha2(F.col(text), 256)).dropDuplicates(["content_sha256"])
 
 
+def _stream_id(spark: SparkSession, log: str) -> str:
+    """The id a stream keeps with its checkpoint."""
+    return spark.read.text(f"{log}/metadata").select(F.get_json_object("value", "$.id")).first()[0]
+
+
+def batches(spark: SparkSession, place: str, but: tuple[str, int] | None = None) -> DataFrame | None:
+    """What the batches under ``place`` hold, without the one of this stream and number; null where there is none.
+
+    Only a missing folder is "none": whatever else goes wrong on reading is an error.
+    """
+    if not path_exists(spark, f"{place}/stream=*"):
+        return None
+    rows = spark.read.option("basePath", place).parquet(f"{place}/stream=*/batch=*")
+    if but:
+        rows = rows.where(~((F.col("stream") == but[0]) & (F.col("batch") == but[1])))
+    return rows.drop("stream", "batch")
+
+
+def _write_batch(df: DataFrame, place: str, stream: str, number: int) -> None:
+    """A folder per stream and batch: a batch that is delivered again writes the same folder again."""
+    df.write.mode("overwrite").parquet(f"{place}/stream={stream}/batch={number}")
+
+
+def _each_batch(stream: DataFrame, place: str, make) -> None:
+    log = f"{place}-log"
+
+    def batch(df: DataFrame, number: int) -> None:
+        me = _stream_id(df.sparkSession, log)
+        _write_batch(make(df, batches(df.sparkSession, place, (me, number))), place, me, number)
+
+    stream.writeStream.foreachBatch(batch).option("checkpointLocation", log).trigger(availableNow=True).start().awaitTermination()
+
+
 def ingest_new(stream: DataFrame, text: str, place: str) -> None:
-    """Rows whose content is not yet in the versions under ``place`` are added to them, batch by batch.
+    """Rows whose content is not yet in the batches under ``place`` are added to them, batch by batch.
 
-    A batch that is delivered again adds nothing, as its contents are then known.
+    A batch is appended; what was there is read for its digests only and never written again.
     """
 
-    def batch(df: DataFrame, _: int) -> None:
-        new = df.withColumn("content_sha256", F.sha2(F.col(text), 256)).dropDuplicates(["content_sha256"])
-        try:
-            known = current_version(df.sparkSession, place)
-        except Exception:
-            known = None
-        if known is not None:
-            new = known.unionByName(new.join(known.select("content_sha256"), "content_sha256", "left_anti"), allowMissingColumns=True)
-        write_version(new, place)
+    def new(df: DataFrame, known: DataFrame | None) -> DataFrame:
+        fresh = df.withColumn("content_sha256", F.sha2(F.col(text), 256)).dropDuplicates(["content_sha256"])
+        return fresh if known is None else fresh.join(known.select("content_sha256"), "content_sha256", "left_anti")
 
-    stream.writeStream.foreachBatch(batch).option("checkpointLocation", f"{place}-log").trigger(availableNow=True).start().awaitTermination()
+    _each_batch(stream, place, new)
 
 
 def _cap(key, batches, state: GroupState, most: int):
@@ -86,14 +113,21 @@ def sessions(events: DataFrame, time: str, by: str, gap: str, late: str = "10 mi
 
 
 def keep_reference_counts(deltas: DataFrame, place: str) -> None:
-    """Upkeep of signed reference and existence counts from a stream of (key, refs, exist) deltas."""
+    """Upkeep of signed reference and existence counts from a stream of (key, refs, exist) deltas.
+
+    Each batch appends its own sums per key; ``reference_counts`` adds them up.
+    """
+
+    def sums(df: DataFrame, _: DataFrame | None) -> DataFrame:
+        rows = df.select("key", F.col("refs").cast("long"), F.col("exist").cast("long"))
+        return merge_counts(rows.limit(0), rows)
+
+    _each_batch(deltas, place, sums)
 
-    def batch(df: DataFrame, _: int) -> None:
-        new = df.select("key", F.col("refs").cast("long"), F.col("exist").cast("long"))
-        try:
-            state = current_version(df.sparkSession, place)
-        except Exception:
-            state = new.limit(0)
-        write_version(merge_counts(state, new), place)
 
-    deltas.writeStream.foreachBatch(batch).option("checkpointLocation", f"{place}-log").trigger(availableNow=True).start().awaitTermination()
+def reference_counts(spark: SparkSession, place: str) -> DataFrame:
+    """(key, refs, exist) over all batches under ``place``."""
+    rows = batches(spark, place)
+    if rows is None:
+        return spark.createDataFrame([], "key string, refs long, exist long")
+    return merge_counts(rows.limit(0), rows)
