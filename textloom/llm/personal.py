@@ -1,11 +1,17 @@
 """Problem 10: personal information in running text, found and replaced.
 
 E-mail addresses, telephone numbers, identity numbers, street addresses and names of persons are
-found by their formats, by cues before them and by a given list of names. Each is replaced by a
-typed placeholder that carries a pseudonym. Numbers are permuted within their own format by a keyed
-Feistel network over their digits and letters (signs, spaces and lengths stay), so one number has
-one pseudonym in all documents and no two share one; other kinds carry a keyed 48-bit tag, itself
-the output of a Feistel network, of their normal form.
+found by their formats, by cues around them and by a given list of names; bank and card numbers
+also by their check digits alone. Each is replaced by a typed placeholder that carries a pseudonym
+of its normal form, so equal values stay linked however they are spelled: e-mail addresses with
+``at`` and ``dot`` written out, telephone numbers with and without country code, names with the
+surname first, identity numbers in any spacing.
+
+Numbers are permuted within their own format by a keyed Feistel network over their digits and
+letters (signs, spaces and lengths stay): one number has one pseudonym in all documents and no two
+share one. A number whose check digits hold gets a pseudonym whose check digits hold: the rest is
+permuted and the check digits are made anew. Other kinds carry a keyed tag of 128 bits, itself the
+output of a Feistel network over a digest of the normal form.
 """
 
 from __future__ import annotations
@@ -13,6 +19,7 @@ from __future__ import annotations
 import hashlib
 import hmac
 import re
+import unicodedata
 from functools import partial
 
 import pandas as pd
@@ -48,6 +55,8 @@ PHONE = re.compile(
     r"|0\d(?:([ .\-])\d\d)(?:\2\d\d){3}|[6789]\d{2}(?:[ .]\d{3}){2}|[6789]\d\d(?: \d\d){3}"
     r")(?![\w]|[-/.]\d)"
 )
+#: numbers that only their check digits give away
+CHECKED = re.compile(r"(?<![\w+./-])(?:[A-Z]{2}\d\d(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?|\d{13,19}|\d{4}(?:-\d{4}){3})(?![\w]|[-/]\d)")
 ID = re.compile(
     r"(?<![\w+./-])(?:"
     r"[A-Z]{2} ?\d\d ?\d\d ?\d\d ?[A-D A-Z](?<=[A-Z])"
@@ -60,7 +69,7 @@ ID = re.compile(
 )
 # Words before an identity number, and words before other numbers.
 ID_CUE = re.compile(r"(?:passport|pass(?:port)?nummer|reisepass|pasaporte|passeport|id(?: no| number| card)?|identity (?:number|card)|national (?:number|id)|insurance (?:number|no)|nhs (?:number|no)|social security(?: number| no)?|tax (?:id|number)|versichertennummer|versicherungsnummer|ausweisnummer(?: lautet)?|personalausweis|steuer-?id|carte(?: no| n°| nº)?|numéro d['’]identité(?: est)?|numéro de sécurité sociale|documento(?: es)?|dni|nie|nif|número de identidad|already carries|card no)\W{0,4}$", re.I)
-NOT_A_NUMBER_CUE = re.compile(r"(?:issn|isbn|batch|lot|charge|lote|code|section|abschnitt|sección|readings?|trial ran|dose|doi|ref(?:erence)?|order|invoice|version|serial|page|pages|vol|figure|table|catalogue|item|part|grant|register|registered body)(?:[\w-]*)[ .:#no°º]{0,6}(?:of |from |to |and )?$", re.I)
+NOT_A_NUMBER_CUE = re.compile(r"(?:issn|isbn|batch|lot|charge|lote|code|section|abschnitt|sección|readings?|dose|doi|ref(?:erence)?|order|invoice|version|serial|page|pages|vol|figure|table|catalogue|item|part|grant|registered body)(?:[\w-]*)[ .:#no°º]{0,6}(?:of |from |to |and )?$", re.I)
 
 # -- addresses
 # Kinds of streets.
@@ -82,10 +91,12 @@ ADDRESS = re.compile(
 # Titles, lead-ins and what follows a name, in four languages.
 TITLES = r"(?:Dr|Doctor|Doctora|Docteur|Docteure|Mr|Mrs|Ms|Miss|Mx|Prof|Professor|Nurse|Midwife|Sister|Matron|Sir|Dame|Rev|Frau|Herr|Hebamme|Schwester|Pfleger|Mme|Mlle|Madame|Monsieur|M|Sage-femme|Infirmière|Infirmier|Sra|Srta|Sr|Señora|Señor|Doña|Don|Matrona|Comadrona|Enfermera|Enfermero|Dra|Pharmacist|Surgeon|Consultant)\b\.?"
 _LEADS = r"(?:[Mm]y name is|I am called|[Nn]ame\s?:|[Ss]igned(?: by)?\s?:?|[Pp]atient(?:in|e|a)?\s?:|From\s?:|To\s?:|Cc\s?:|[Aa]sk for|I (?:saw|met) |written by|[Rr]eviewed by|[Cc]ontact person\s?:|Ich heiße|[Mm]ein Name ist|[Ff]ragen Sie nach|Gezeichnet\s?:|Name\s?:|[Vv]on\s?:|Je m['’]appelle|[Mm]on nom est|[Dd]emandez|Signé\s?:|Nom\s?:|Me llamo|[Mm]i nombre es|[Pp]regunte por|Firmado\s?:|Nombre\s?:|[Pp]aciente\s?:|[Dd]ear|Liebe[r]?|Chère|Cher|Querid[ao]|(?:[Kk]ind|[Bb]est|[Ww]arm) regards,|[Yy]ours (?:sincerely|faithfully|truly),|[Ss]incerely,|Best wishes,|Many thanks,|Mit freundlichen Grüßen,?|Viele Grüße,?|Cordialement,|Bien à vous,|Atentamente,|Saludos,|Un saludo,)"
-_AFTER = r"(?:told us|at the desk|last week and|after long talks|; seen|am Empfang|à l['’]accueil|en la entrada|nous a raconté|nos contó|nos dijo|erzählte uns|hat uns|a écrit|wrote to us|said that the visit|signed the form)"
+_AFTER = re.compile(r"[ ](?:told|said|says|wrote|writes|asked|replied|called|thanked|signed|explained|added|recalls?|erzählt|erzählte|sagte?|schrieb|fragte|meinte|hat uns|berichtete|a (?:raconté|dit|écrit|demandé|expliqué)|nous a|dit|écrit|contó|dijo|dice|escribió|preguntó|explicó|nos (?:contó|dijo|escribió))\b")
+#: what stands before places, not before persons who do something
+_PLACE_BEFORE = re.compile(r"\b(?:in|from|at|near|of|to|aus|nach|bei|um|à|en|de|desde|hacia)[ ]+$")
 #: no part of a name though capitalised: words that begin sentences, months, days, nationalities
 ORDINARY = set(
-    "The A An In On At By For With Without Until After Before During Since When While If As And But Or Nor So Yet Some Many Most Two Three Four Those These This That My Our Your His Her Their Its I We You He She They It Is Are Was Were Be Am Do Does Did Has Have Had Not No Yes Please Thanks Thank Hello Hi Dear Back Between Being Now Last Ever Just To From Of Off Out Up Down According Honestly Oddly Call Text Write Send Contact Phone Tel Address Passport Patient Signed Results Rest Keep Ask Avoid Seek Go Have Bleeding Tissue Tracking Guidance Leaflets Iron Warmth Hormone Breast Ultrasound Rose Readings Batch See Other People Women Athletes Teenagers Among About Outside Untreated Under Over Near Can Could Should Would Will May Might Must Who What Where Which Why How Then There Here Only Even Such Each Every All Any Both Few More Less Loss Pain Low Night Ovulation Mood Hot Back Hair Joint Leg Pelvic Early First Cycle Thyroid Smear Cyst Fibroid Postnatal Contraceptive Menopause Breastfeeding Discharge Diary "
+    "Later Today Yesterday Tomorrow Soon Finally Suddenly Meanwhile However Also Although Because Instead Perhaps Maybe Sometimes Often Usually Never Always Again Still Afterwards Next Once Everyone Everybody Nobody Somebody Someone Nothing The A An In On At By For With Without Until After Before During Since When While If As And But Or Nor So Yet Some Many Most Two Three Four Those These This That My Our Your His Her Their Its I We You He She They It Is Are Was Were Be Am Do Does Did Has Have Had Not No Yes Please Thanks Thank Hello Hi Dear Back Between Being Now Last Ever Just To From Of Off Out Up Down According Honestly Oddly Call Text Write Send Contact Phone Tel Address Passport Patient Signed Results Rest Keep Ask Avoid Seek Go Have Bleeding Tissue Tracking Guidance Leaflets Iron Warmth Hormone Breast Ultrasound Rose Readings Batch See Other People Women Athletes Teenagers Among About Outside Untreated Under Over Near Can Could Should Would Will May Might Must Who What Where Which Why How Then There Here Only Even Such Each Every All Any Both Few More Less Loss Pain Low Night Ovulation Mood Hot Back Hair Joint Leg Pelvic Early First Cycle Thyroid Smear Cyst Fibroid Postnatal Contraceptive Menopause Breastfeeding Discharge Diary "
     "January February March April May June July August September October November December Monday Tuesday Wednesday Thursday Friday Saturday Sunday Mondays Spanish French German English Flat Apt Box Street Road Lane Avenue Row Clinic Hospital Ward Department Institute Foundation Centre Center University College School Library "
     "Der Die Das Ein Eine Nach Mit Bei Seit Vor Von Zu Im In Am An Auf Aus Wenn Weil Und Oder Ich Sie Er Es Wir Ihr Mein Meine Laut Mehr Bitte Rufen Schreiben Fragen Allgemeinen Hier Neben Ehrlich Wie Fieber Myome Tel Le La Les Un Une Des Du De En Et Ou Je Tu Il Elle Nous Vous Ils Mon Ma Mes Selon Avec Sans Pour Par Sur Dans Depuis Après Avant Plus Merci Notez Bonjour Franchement Demandez Appelez Adresse Courriel Tél Carte Test El Los Las Una Unos Con Sin Por Para Desde Después Antes Según Tras Más Gracias Anote Me Mi Mis Su Sus Yo Usted Correo Teléfono Dirección Llame Escriba Pregunte Cerca Perder".split()
 )
@@ -93,9 +104,9 @@ ORDINARY = set(
 AMBIGUOUS = set("April May June August Hope Faith Grace Dawn Ivy Rose Joy Summer Autumn Will Mark Bill Art Rich Violet Olive Pearl Ruby Amber Iris Lily Daisy Heather Holly Hazel Robin Jasmine Sage Angel Destiny Harmony Melody Penny Patience Charity Prudence Constance Chance Max Victor Frank Ernest Guy Gene Jack Dolores Pilar Consuelo Mercedes Rosa Alba Sol Luz Paz Clemence Aimé Reine Blanche Claire Pascal Noël Ernst Wolf Karl Clara Vera Mira Nora Celia Hana Amara Thea Tuva Noor".split()) - set("Karl Clara Vera Mira Nora Celia Hana Amara Thea Tuva Noor".split())
 _CAPITAL = re.compile(rf"(?<![\w@.+'’-])(?:[A-Z]\.\s?)*{_SUR}(?![\w@]|\.\w)")
 _ONE = rf"(?:(?:[A-Z]\.[ ]?){{1,2}}{_SUR}|{_CAP}(?:[ ](?:[A-Z]\.|(?:van|von|de|del|della|da|di|du|der|den|la|le|bin|al)))*[ ]{_SUR}|{_SUR},[ ]{_CAP}|{_CAP}[ ][A-Z]\.|{_SUR})"
-LEAD_NAME = re.compile(rf"(?:(?<=\n)|(?<!\w)){_LEADS}\s*(?:{TITLES}\s+)*({_ONE})")
+LEAD_NAME = re.compile(rf"{_LEADS}\s*(?:{TITLES}\s+)*({_ONE})")
 TITLE_NAME = re.compile(rf"(?<![\w-]){TITLES}[ ]+(?:{TITLES}[ ]+)*({_ONE})")
-AFTER_NAME = re.compile(rf"(?<![\w@.+-])(?:{TITLES}[ ]+)*({_ONE})[ ]?(?={_AFTER})")
+AFTER_NAME = re.compile(rf"(?<![\w@.+-])(?:{TITLES}[ ]+)*({_ONE})$")
 BLOCK_NAME = re.compile(rf"(?:(?<=\n)|(?<=[.!?)][ ])|^)(?:{TITLES}[ ]+)*({_ONE})[ \t]*\n[ \t]*$")
 SLASH_NAME = re.compile(rf"(?:(?<=\n)|(?<=[.!?][ ])|^)(?:{TITLES}[ ]+)*({_ONE})(?=[ ]/[ ])", re.M)
 
@@ -135,7 +146,7 @@ class Finder:
                 b -= len(w[0])  # the running text or a name goes on behind the place
             if free(a, b):
                 taken.append((a, b, "address"))
-        numbers = []
+        numbers = [(m.start(), m.end(), "id_number") for m in CHECKED.finditer(text) if check_kind(m[0]) in ("iban", "luhn")]
         for m in ID.finditer(text):
             before = text[max(0, m.start() - 40) : m.start()]
             if not NOT_A_NUMBER_CUE.search(before):
@@ -175,11 +186,21 @@ class Finder:
 
     def _names(self, text: str):
         found = []
-        for rx in (LEAD_NAME, TITLE_NAME, AFTER_NAME, SLASH_NAME):
-            for m in rx.finditer(text):
-                t = self._trim(text, *m.span(1))
-                if t:
-                    found.append(t)
+        cues = [m.span(1) for m in TITLE_NAME.finditer(text)]
+        at = 0
+        while m := LEAD_NAME.search(text, at):
+            # a lead-in begins a word; the pattern is quicker without saying so
+            inside = m.start() and (text[m.start() - 1].isalnum() or text[m.start() - 1] == "_")
+            at = m.start() + 1 if inside else m.end()
+            if not inside:
+                cues.append(m.span(1))
+        for v in _AFTER.finditer(text):
+            m = AFTER_NAME.search(text, max(0, v.start() - 60), v.start())
+            if m and not _PLACE_BEFORE.search(text, max(0, m.start() - 12), m.start()):
+                cues.append(m.span(1))
+        if " / " in text:
+            cues += [m.span(1) for m in SLASH_NAME.finditer(text)]
+        found += [t for a, b in cues if (t := self._trim(text, a, b))]
         # surnames and whole names that a cue gave away count wherever else they stand
         known = set()
         for a, b in found:
@@ -282,12 +303,131 @@ def permute_date(day: str, key: bytes, first: str = "1900-01-01", days: int = 73
     return str(start + timedelta(feistel(k, left, days // left, key, "date", back)))
 
 
+# Check letters of Spanish numbers, and country codes that are read off telephone numbers.
+DNI_LETTERS = "TRWAGMYFPDXBNJZSQVHLCKE"
+COUNTRY_CODES = ("1", "20", "27", "30", "31", "32", "33", "34", "351", "352", "353", "36", "39", "40", "41", "420", "43", "44", "45", "46", "47", "48", "49", "51", "52", "54", "55", "56", "57", "58", "61", "64", "81", "90", "91")
+#: endings and streets as they are shortened
+_SHORTENED = {"street": "st", "road": "rd", "avenue": "ave", "av": "ave", "lane": "ln", "close": "cl", "court": "ct", "drive": "dr", "square": "sq", "gardens": "gdns", "strasse": "str", "straße": "str", "apartment": "apt", "calle": "c", "avenida": "avda"}
+
+
+def _luhn_digit(body: str) -> str:
+    total = 0
+    for k, c in enumerate(reversed(body)):
+        n = int(c) * (2 - k % 2)
+        total += n - 9 * (n > 9)
+    return str(-total % 10)
+
+
+def _iban_digits(country: str, rest: str) -> str:
+    value = "".join(str(int(c, 36)) for c in rest + country)
+    return f"{98 - int(value + '00') % 97:02d}"
+
+
+def _nhs_digit(body: str) -> str:
+    """The check digit; '' for bodies that have none."""
+    n = -sum(int(c) * (10 - k) for k, c in enumerate(body)) % 11
+    return "" if n == 10 else str(n)
+
+
+def _nir_digits(body: str) -> str:
+    return f"{97 - int(body) % 97:02d}"
+
+
+def _signs(text: str) -> str:
+    return "".join(c for c in text if c.isascii() and c.isalnum()).upper()
+
+
+def check_kind(text: str) -> str | None:
+    """Which check the number passes: iban, luhn (cards), nhs, nir or dni; the first that fits its form."""
+    n = _signs(text)
+    if len(n) > 14 and n[:2].isalpha() and n[2:4].isdigit():
+        return "iban" if _iban_digits(n[:2], n[4:]) == n[2:4] else None
+    if n.isdigit():
+        if len(n) == 15 and n[0] in "12" and _nir_digits(n[:13]) == n[13:]:
+            return "nir"
+        if 13 <= len(n) <= 19 and len(set(n)) > 1 and _luhn_digit(n[:-1]) == n[-1]:
+            return "luhn"
+        if len(n) == 10 and len(set(n)) > 1 and _nhs_digit(n[:9]) == n[9]:
+            return "nhs"
+    elif len(n) == 9 and n[:8].isdigit() and n[8] == DNI_LETTERS[int(n[:8]) % 23]:
+        return "dni"
+    return None
+
+
+def _put(text: str, signs: str) -> str:
+    """The signs at the places of the text's letters and digits, letters in the case they had."""
+    new = iter(signs)
+    return "".join((lambda x: x.lower() if c.islower() else x)(next(new)) if c.isascii() and c.isalnum() else c for c in text)
+
+
+def permute_identity(text: str, key: bytes, back: bool = False) -> str:
+    """Within the format; where check digits hold the rest is permuted and they are made anew."""
+    n, kind = _signs(text), check_kind(text)
+    if kind == "luhn":
+        body = permute_number(n[:-1], key, back)
+        return _put(text, body + _luhn_digit(body))
+    if kind == "iban":
+        rest = permute_number(n[4:], key, back)
+        return _put(text, n[:2] + _iban_digits(n[:2], rest) + rest)
+    if kind == "nir":
+        body = n[0] + permute_number(n[1:13], key, back)
+        return _put(text, body + _nir_digits(body))
+    if kind == "nhs":
+        body = permute_number(n[:9], key, back)
+        while not _nhs_digit(body):  # walk on along the permutation's cycle until a body that has a digit: still one to one
+            body = permute_number(body, key, back)
+        return _put(text, body + _nhs_digit(body))
+    if kind == "dni":
+        body = permute_number(n[:8], key, back)
+        return _put(text, body + DNI_LETTERS[int(body) % 23])
+    return permute_number(text, key, back)
+
+
+_COUNTRY = re.compile(rf"(?:\+|00)[ .\-/]?({'|'.join(sorted(COUNTRY_CODES, key=len, reverse=True))})")
+
+
+def permute_phone(text: str, key: bytes, back: bool = False) -> str:
+    """The digits of the subscriber's number permuted; country code and leading zeros stay as they are written.
+
+    A number has the same permuted digits with and without its country code.
+    """
+    m = _COUNTRY.match(text.lstrip("("))
+    start = m.end() + len(text) - len(text.lstrip("(")) if m else 0
+    while start < len(text) and (not text[start].isdigit() or text[start] == "0"):
+        start += 1
+    rest = text[start:]
+    digits = "".join(c for c in rest if c.isascii() and c.isdigit())
+    first = digits[:1]
+    if not first:
+        return text
+    # a first digit stays one from 1 to 9, or it would be read as a leading zero: walk on along the cycle
+    new = permute_number(digits, key, back)
+    while new[0] == "0":
+        new = permute_number(new, key, back)
+    return text[:start] + _put(rest, new)
+
+
+def normal_form(kind: str, text: str) -> str:
+    """What spellings of one value have in common."""
+    low = unicodedata.normalize("NFKC", text).lower()
+    if kind == "email":
+        low = re.sub(r"\s*[\[({<]?\s*(?:\bat\b|\barroba\b|\baroba\b|@)\s*[\])}>]?\s*", "@", low, count=1)
+        low = re.sub(r"\s*[\[({]\s*(?:dot|punto|punkt|point|\.)\s*[\])}]\s*|\s+(?:dot|punto|punkt|point)\s+|。", ".", low)
+        return re.sub(r"\s+", "", low)
+    if kind == "name" and "," in low:
+        family, given = low.split(",", 1)
+        low = f"{given} {family}"
+    words = re.sub(r"[\W_]+", " ", low).split()
+    return " ".join(_SHORTENED.get(w, w) for w in words) if kind == "address" else " ".join(words)
+
+
 def pseudonym(kind: str, text: str, key: bytes) -> str:
-    if kind in ("phone", "id_number"):
-        return permute_number(text, key)
-    low = re.sub(r"[\W_]+", " ", text).strip().lower()
-    h = int.from_bytes(hashlib.sha256(f"{kind}|{low}".encode()).digest()[:6], "big")
-    return f"{feistel(h, 1 << 24, 1 << 24, key, kind):012x}"
+    if kind == "phone":
+        return permute_phone(text, key)
+    if kind == "id_number":
+        return permute_identity(text, key)
+    h = int.from_bytes(hashlib.sha256(f"{kind}|{normal_form(kind, text)}".encode()).digest()[:16], "big")
+    return f"{feistel(h, 1 << 64, 1 << 64, key, kind):032x}"
 
 
 def _spans(it, names):

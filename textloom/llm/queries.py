@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import functions as F
 
 from ..session import checkpointed, table
@@ -61,8 +63,9 @@ def p6_found(spark, d):
     return found.select(F.col("item").alias("benchmark_id"), F.col("id").alias("interaction_id")).distinct()
 
 
-#: a key for the checks; users give their own
-_KEY = b"textloom"
+def _key(spark) -> bytes:
+    """The key of the pseudonyms from the configuration; the checks, which set none, have one of their own."""
+    return (spark.conf.get("spark.textloom.pseudonym.key", None) or os.environ.get("TEXTLOOM_PSEUDONYM_KEY") or "key of the checks").encode()
 
 
 def p10_spans(spark, d):
@@ -74,7 +77,7 @@ def p10_found(spark, d):
 
 
 def p10_clean(spark, d):
-    clean = personal.without_personal(table(spark, d, "documents"), "doc_id", "text", _KEY, table(spark, d, "person_names"))
+    clean = personal.without_personal(table(spark, d, "documents"), "doc_id", "text", _key(spark), table(spark, d, "person_names"))
     return clean.withColumnRenamed("id", "doc_id")
 
 
