@@ -79,6 +79,11 @@ def pages(n=60, sites=6, seed=1):
     return out
 
 
+def lettered(n):
+    """A number in letters: digits are all one to the operator."""
+    return "".join(chr(97 + int(c)) for c in str(n))
+
+
 def frame(spark, rows):
     return spark.createDataFrame(rows, "page_id long, canonical_url string, url string, content string, title string")
 
@@ -126,6 +131,28 @@ def test_pages_without_content(spark):
     assert L.repeated_lines(frame(spark, rows[:0]), "page_id", "content", ["canonical_url", "url"]).count() == 0
 
 
+def test_the_ratio_rejects_lines_as_frequent_elsewhere(spark):
+    """One line on a fifth of a site's pages and on nearly as many of thirty others, which do not repeat it; a notice beside it."""
+    rows = []
+    for s in range(31):
+        for k in range(20):
+            lines = [f"own {lettered(s)} q {lettered(k)} text"]
+            lines += ["common heading"] if k < (4 if s == 0 else 3) else []
+            lines += ["special notice"] if s == 0 and k < 4 else []
+            rows.append((s * 100 + k, f"https://s{s}.example/{k}", None, "\n".join(lines), None))
+    got = {r["form"] for r in L.repeated_lines(frame(spark, rows), "page_id", "content", ["canonical_url", "url"]).select("form").distinct().collect()}
+    assert got == {"special notice"}
+    _, excess = L.line_excess(frame(spark, rows), "page_id", "content", ["canonical_url", "url"])
+    seen = {(r["pages"], r["outside"], r["repeated"], r["significant"]) for r in excess.collect()}
+    assert seen == {(4, 90, True, False), (4, 0, True, True)}
+
+
+def test_a_lone_site_is_compared_with_an_unrepeated_line(spark):
+    rows = [(k, f"https://one.example/{k}", None, f"own {lettered(k)} line" + "\nnotice here" * (k < 5), None) for k in range(25)]
+    got = L.repeated_lines(frame(spark, rows), "page_id", "content", ["canonical_url", "url"]).collect()
+    assert {(r["page"], r["line_no"]) for r in got} == {(k, 2) for k in range(5)}
+
+
 # -- problem 7
 
 
@@ -154,11 +181,6 @@ def test_repeated_runs_equal_counting(seed):
         assert got.tolist() == want.tolist()
 
 
-def lettered(n):
-    """A number in letters: digits are all one to the operator."""
-    return "".join(chr(97 + int(c)) for c in str(n))
-
-
 @pytest.mark.parametrize("size", [400, 20])
 def test_repetition_removes_notices_of_any_wording(spark, monkeypatch, size):
     """Words that are in no list; on small and on cut hosts. Headings and copies of whole pages stay."""

@@ -43,9 +43,15 @@ def p5_found(spark, d):
 
 
 def p5_lines(spark, d):
-    """The repeated lines of each site with their counts."""
+    """Every line tested (on four pages of its site or more) with its counts and its ratio."""
     lines, excess = site_lines.line_excess(table(spark, d, "health_pages"), *_PAGES)
-    return site_lines.named(lines, excess.where("significant and repeated")).select("site", "form", "pages", "site_pages", F.round("ratio", 4).alias("ratio"))
+    return site_lines.named(lines, excess).select("site", "form", "pages", "site_pages", "outside", F.round("ratio", 4).alias("ratio"), "repeated")
+
+
+def p5_rejected(spark, d):
+    """How many tested lines each of the two conditions alone rejects."""
+    _, excess = site_lines.line_excess(table(spark, d, "health_pages"), *_PAGES)
+    return excess.groupBy("repeated", "significant").agg(F.count(F.lit(1)).alias("n_lines"), F.sum("pages").alias("n_pages"))
 
 
 def p5_clean(spark, d):
@@ -115,7 +121,7 @@ def p9_report(spark, d):
     return mixing.mix_sources(_sizes(spark, d), table(spark, d, "mix_targets"))[1]
 
 
-QUERIES = {"p8_packed": p8_packed, "p8_report": p8_report, "p9_mixed": p9_mixed, "p9_report": p9_report, "p7_found": p7_found, "p7_main": p7_main, "p10_found": p10_found, "p10_clean": p10_clean, "p6_found": p6_found, "p6_leaks": p6_leaks, "p5_found": p5_found, "p5_lines": p5_lines, "p5_clean": p5_clean, "p3_found": p3_found, "p3_pieces": p3_pieces, "p2_found": p2_found, "p1_found": p1_found, "p1_report": p1_report}
+QUERIES = {"p8_packed": p8_packed, "p8_report": p8_report, "p9_mixed": p9_mixed, "p9_report": p9_report, "p7_found": p7_found, "p7_main": p7_main, "p10_found": p10_found, "p10_clean": p10_clean, "p6_found": p6_found, "p6_leaks": p6_leaks, "p5_found": p5_found, "p5_lines": p5_lines, "p5_rejected": p5_rejected, "p5_clean": p5_clean, "p3_found": p3_found, "p3_pieces": p3_pieces, "p2_found": p2_found, "p1_found": p1_found, "p1_report": p1_report}
 _P5 = r"""
 WITH pages AS (
   SELECT page_id, content, regexp_replace(regexp_replace(lower(regexp_extract(coalesce(canonical_url, url), '//([^/?#]*)', 1)), ':[0-9]+$', ''), '^www\.', '') AS site FROM health_pages),
@@ -135,4 +141,13 @@ marked AS (SELECT *, (site, trim(regexp_replace(regexp_replace(lower(l), '[0-9]+
 SELECT page_id, coalesce(string_agg(l, chr(10) ORDER BY i) FILTER (NOT gone), '') AS text, count_if(gone)::INT AS n_removed FROM marked GROUP BY page_id, site, content
 UNION ALL SELECT page_id, NULL, NULL FROM texts WHERE content IS NULL"""
 )
-ORACLE: dict[str, str] = {"p5_found": _P5, "p5_clean": _P5_CLEAN, "p3_found": "SELECT DISTINCT chunk_id FROM reference_chunks WHERE length(text) > 1200"}
+_P5_LINES = (
+    _P5.split("SELECT DISTINCT page_id, line_no")[0]
+    + """, t AS (SELECT site, form, k, n, k >= 4 AND k >= 0.2 * n AS repeated FROM k JOIN n USING (site)),
+o AS (SELECT form, coalesce(sum(k) FILTER (NOT repeated), 0) AS stray FROM t GROUP BY form), a AS (SELECT sum(n) AS total FROM n),
+x AS (SELECT site, form, k::DOUBLE AS k1, n::DOUBLE AS n1, (stray - CASE WHEN repeated THEN 0 ELSE k END)::DOUBLE AS k2, (total - n)::DOUBLE AS n2, repeated FROM t JOIN o USING (form), a WHERE k >= 4),
+y AS (SELECT *, CASE WHEN n2 > 0 THEN (k1 + k2) / (n1 + n2) ELSE 1 / n1 END AS p FROM x),
+g AS (SELECT *, 2 * (CASE WHEN k1 > 0 THEN k1 * ln(k1 / n1 / p) ELSE 0 END + CASE WHEN n1 > k1 THEN (n1 - k1) * ln((n1 - k1) / n1 / (1 - p)) ELSE 0 END + CASE WHEN k2 > 0 THEN k2 * ln(k2 / n2 / p) ELSE 0 END + CASE WHEN n2 > k2 THEN (n2 - k2) * ln((n2 - k2) / n2 / (1 - p)) ELSE 0 END) AS g FROM y)
+SELECT site, form, k1::BIGINT AS pages, n1::BIGINT AS site_pages, k2::BIGINT AS outside, round(CASE WHEN n2 > 0 AND k1 / n1 <= k2 / n2 THEN 0 ELSE g END, 4) AS ratio, repeated FROM g"""
+)
+ORACLE: dict[str, str] = {"p5_lines": _P5_LINES, "p5_found": _P5, "p5_clean": _P5_CLEAN, "p3_found": "SELECT DISTINCT chunk_id FROM reference_chunks WHERE length(text) > 1200"}

@@ -8,7 +8,12 @@ by partial aggregation, so the rows of a large site are spread over the tasks by
 Two points differ from the plain test. Outside pages count only where the line is not itself
 repeated by its site: otherwise a notice that every site prints would be nobody's excess. And the
 p-values of the ratio become q-values from a histogram of fixed size over all tests, so no task
-sorts them all.
+sorts them all. A site without any pages outside it is compared with what an unrepeated line does,
+which stands on one page of the site.
+
+A line is removed if both hold: the test finds an excess, and it stands on the least number and
+share of the site's pages that the definition asks for. A line as frequent on pages of other sites,
+none of which repeats it, is no excess and stays.
 """
 
 from __future__ import annotations
@@ -57,13 +62,14 @@ def page_lines(df: DataFrame, page_col: str, text_col: str, urls: list[str]) ->
 
 
 def _ratio(k1, n1, k2, n2) -> Column:
-    """Dunning's log-likelihood ratio for k1 of n1 against k2 of n2, zero unless k1 / n1 is larger."""
+    """Dunning's log-likelihood ratio for k1 of n1 against k2 of n2, zero unless k1 / n1 is larger; without n2 against one of n1."""
 
     def part(k, n, p):
         # a zero count adds nothing; p is then not looked at
         return F.when(k > 0, k * F.ln(F.when(k > 0, k / n / p))).otherwise(0.0)
 
-    p = (k1 + k2) / (n1 + n2)
+    # nothing outside: against one page of the site, a known rate
+    p = F.when(n2 > 0, (k1 + k2) / F.greatest(n1 + n2, F.lit(1))).otherwise(1 / F.greatest(n1, F.lit(1)))
     q = 1 - p
     g = 2 * (part(k1, n1, p) + part(n1 - k1, n1, q) + part(k2, n2, p) + part(n2 - k2, n2, q))
     return F.when((n2 > 0) & (k1 / n1 <= k2 / F.greatest(n2, F.lit(1))), 0.0).otherwise(F.coalesce(g, F.lit(0.0)))
@@ -89,10 +95,11 @@ def _threshold(tests: DataFrame, rate: float) -> float:
 
 
 def line_excess(df: DataFrame, page_col: str, text_col: str, urls: list[str], min_pages: int = MIN_PAGES, min_share: float = MIN_SHARE, rate: float = FDR) -> tuple[DataFrame, DataFrame]:
-    """(lines, excess): all lines, and (site, sf, f, pages, site_pages, ratio, significant, repeated).
+    """(lines, excess): all lines, and (site, sf, f, pages, site_pages, outside, ratio, significant, repeated).
 
     ``excess`` has the forms with a letter that stand on ``min_pages`` pages of the site or more.
-    ``repeated`` means also on ``min_share`` of the site's pages. ``significant`` is the test's answer.
+    ``repeated`` means also on ``min_share`` of the site's pages, ``outside`` are the pages of other
+    sites that the test counts, ``significant`` is the test's answer.
     Pages without text count as pages of their site. Forms are named by two hashes of 64 bits each,
     so that no line's text is shuffled.
     """
@@ -112,11 +119,8 @@ def line_excess(df: DataFrame, page_col: str, text_col: str, urls: list[str], mi
     inside, n_in = F.col("pages").cast("double"), F.col("site_pages").cast("double")
     own_stray = F.when(repeated, 0).otherwise(F.col("pages"))
     k_out, n_out = (F.col("stray") - own_stray).cast("double"), F.lit(float(all_pages)) - n_in
-    tests = checkpointed(tests.select("site", "sf", "f", "pages", "site_pages", _ratio(inside, n_in, k_out, n_out).alias("ratio"), repeated.alias("repeated")))
-    least = _threshold(tests, rate)
-    # A site with no other pages to compare with has nothing outside: its repetition is the evidence.
-    alone = F.col("site_pages") >= F.lit(all_pages)
-    return lines, tests.withColumn("significant", (F.col("ratio") >= F.lit(least)) | alone)
+    tests = checkpointed(tests.select("site", "sf", "f", "pages", "site_pages", k_out.cast("long").alias("outside"), _ratio(inside, n_in, k_out, n_out).alias("ratio"), repeated.alias("repeated")))
+    return lines, tests.withColumn("significant", F.col("ratio") >= F.lit(_threshold(tests, rate)))
 
 
 def named(lines: DataFrame, excess: DataFrame) -> DataFrame:
