@@ -319,15 +319,60 @@ def test_sum_of_squares_takes_the_best_level():
         levels[box] += size
 
 
+def test_containers_nothing_fits_into_are_closed(spark, monkeypatch):
+    """Texts of more than half a container: no open container of one shard reaches another."""
+    monkeypatch.setattr(K, "SHARD_ROWS", 40)
+    monkeypatch.setattr(K, "FAN_IN", 2)
+    seen = []
+    inner = K.checkpointed
+    monkeypatch.setattr(K, "checkpointed", lambda df: seen.append(0) or inner(df))
+    out = K.pack_texts(sizes(spark, [(k, 60 + k % 30) for k in range(500)]), packs(spark, [("a", 100, 0)]))
+    assert out.select("container").distinct().count() == 500 and len(seen) == 2  # no round at all
+    rng = random.Random(3)
+    mixed = [(k, rng.choice([60, 61, 70, 5])) for k in range(500)]
+    out = K.pack_texts(sizes(spark, mixed), packs(spark, [("a", 100, 0)]))
+    least = sum(n > 50 for _, n in mixed)
+    assert out.select("container").distinct().count() <= least + 1 and out.count() == 500
+
+
+def test_after_a_round_at_most_two_containers_are_open():
+    rng = random.Random(5)
+    for capacity in (10, 100):
+        boxes = K.FullestFirst(capacity)
+        for n in sorted((rng.randint(1, capacity - 1) for _ in range(400)), reverse=True):
+            boxes.place(n)
+        used = np.array(boxes.used)
+        assert (used <= capacity).all() and (2 * used <= capacity).sum() <= 1
+        assert (~K.closed(used, capacity)).sum() <= 2
+
+
 # -- problem 9
 
 
-def test_schedule_is_even_from_the_start():
+@pytest.mark.parametrize("chunk", [1 << 16, 100])
+def test_schedule_is_even_from_the_start(spark, monkeypatch, chunk):
+    monkeypatch.setattr(M, "CHUNK", chunk)
     shares = [0.5, 0.3, 0.15, 0.05]
-    s = M.schedule(shares, 4096)
+    rows = M.schedule(spark, [("m", 4096, list("abcd"), shares), ("one", 1, ["a"], [1.0])]).collect()
+    assert [(r["source"], r["nth"]) for r in rows if r["mix_name"] == "one"] == [("a", 0)]
+    of = {r["slot"]: r["source"] for r in rows if r["mix_name"] == "m"}
+    assert sorted(of) == list(range(4096))
     for n in (20, 100, 1000, 4096):
-        for k, p in enumerate(shares):
-            assert abs((s[:n] == k).sum() - p * n) <= 4
+        for s, p in zip("abcd", shares, strict=True):
+            assert abs(sum(of[k] == s for k in range(n)) - p * n) <= 4
+    for s in "abcd":
+        own = sorted((r["slot"], r["nth"]) for r in rows if r["mix_name"] == "m" and r["source"] == s)
+        assert [n for _, n in own] == list(range(len(own)))
+
+
+def test_slots_keep_their_size_as_a_mix_grows(spark):
+    rows = spark.createDataFrame([(k, "ab"[k % 2], 10) for k in range(4000)], "id long, source string, n_tokens long")
+    targets = spark.createDataFrame([("m", "a", 0.5, 1, 1.0), ("m", "b", 0.5, 1, 1.0)], "mix_name string, source string, target_share double, max_repeats int, total_fraction double")
+    drawn, _ = M.mix_sources(rows, targets, slot_tokens=20, least_slots=10)
+    per = Counter()
+    for r in drawn.collect():
+        per[r["slot"]] += r["n_tokens"]
+    assert len(per) >= 1990 and max(per.values()) <= 30
 
 
 def test_mix_reaches_its_shares_and_caps(spark):
@@ -335,7 +380,7 @@ def test_mix_reaches_its_shares_and_caps(spark):
     rows = [(k, rng.choice(["a", "a", "a", "b", "c"]), rng.randint(1, 40)) for k in range(3000)] + [(3000, None, 5), (None, "a", 5), (3001, "a", 0)]
     targets = [("m", "a", 0.5, 1, 0.5), ("m", "b", 0.3, 4, 0.5), ("m", "c", 0.1, 1, 0.5), ("m", "gone", 0.1, 3, 0.5), ("n", "c", 1.0, 2, 2.0)]
     schema = "mix_name string, source string, target_share double, max_repeats int, total_fraction double"
-    drawn, report = M.mix_sources(spark.createDataFrame(rows, "id long, source string, n_tokens long"), spark.createDataFrame(targets, schema), slots=1000)
+    drawn, report = M.mix_sources(spark.createDataFrame(rows, "id long, source string, n_tokens long"), spark.createDataFrame(targets, schema), least_slots=1000)
     used = Counter((r["mix_name"], r["source"], r["id"]) for r in drawn.collect())
     cap = {(m, s): c for m, s, _, c, _ in targets}
     assert all(n <= cap[m, s] for (m, s, _), n in used.items())
@@ -345,7 +390,7 @@ def test_mix_reaches_its_shares_and_caps(spark):
     assert r["m", "gone"]["tokens"] == 0 and not r["m", "gone"]["reached"]
     # a source too small for its share is used up to its cap, and no more
     assert r["n", "c"]["tokens"] == 2 * r["n", "c"]["available_tokens"] and not r["n", "c"]["reached"]
-    again = M.mix_sources(spark.createDataFrame(rows[::-1], "id long, source string, n_tokens long"), spark.createDataFrame(targets, schema), slots=1000)[0]
+    again = M.mix_sources(spark.createDataFrame(rows[::-1], "id long, source string, n_tokens long"), spark.createDataFrame(targets, schema), least_slots=1000)[0]
     assert sorted(map(tuple, drawn.collect())) == sorted(map(tuple, again.collect()))
 
 

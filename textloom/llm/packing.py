@@ -6,12 +6,18 @@ a place for each level. Among equal choices the fullest container is taken. A se
 texts is part of the size: texts of size + separator into capacity + separator.
 
 The texts are dealt to shards by a hash and each shard packed on its own; then the containers that
-are still open are packed as wholes across the shards, in rounds of ``FAN_IN`` shards to one, until
-one shard is left. An open container is one row in those rounds, whatever it holds.
+are still open are put together as wholes across the shards, in rounds of ``FAN_IN`` shards to one,
+until one shard is left. An open container is one row in those rounds, whatever it holds, and is put
+into the fullest one that has room, the fullest first. After that no two containers of a shard fit
+together, so at most one is half full or less, and of the others only one can ever take it: two go
+on into the next round, the rest are closed. A round thus has ``FAN_IN * SHARD_ROWS`` rows a task at
+most, the later ones twice ``FAN_IN``.
 """
 
 from __future__ import annotations
 
+from bisect import bisect_right, insort
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -56,21 +62,61 @@ class SumOfSquares:
         return box
 
 
+class FullestFirst(SumOfSquares):
+    """Each size into the fullest container that has room."""
+
+    def __init__(self, capacity: int):
+        super().__init__(capacity)
+        self.levels: list[int] = []  # of open containers, in order
+
+    def place(self, size: int) -> int:
+        k = bisect_right(self.levels, self.capacity - size) - 1
+        level = self.levels.pop(k) if k >= 0 else 0
+        if k >= 0:
+            box = self.open[level].pop()
+        else:
+            box = len(self.used)
+            self.used.append(0)
+        self.used[box] += size
+        if level + size < self.capacity:
+            self.open[level + size].append(box)
+            insort(self.levels, level + size)
+        return box
+
+
+def closed(levels: np.ndarray, capacity: int) -> np.ndarray:
+    """Which containers of a shard nothing more is to be put into, sizes and capacity with the separator.
+
+    Those without room for the emptiest, and of those more than half full all that are more than the
+    others can fill, the emptiest being kept open.
+    """
+    shut = levels + levels.min(initial=capacity) > capacity
+    small = 2 * levels <= capacity
+    large = np.flatnonzero(~small & ~shut)
+    large = large[np.argsort(levels[large], kind="stable")]
+    shut[large[max(int(small.sum()), 1) :]] = True
+    return shut
+
+
 def _pack(pdf: pd.DataFrame) -> pd.DataFrame:
-    """One shard of one pack: rows (pack_name, shard, capacity, separator, key, size)."""
+    """One shard of one pack: rows (pack_name, shard, capacity, separator, key, size, first)."""
     pdf = pdf.sort_values(["rank", "key"], kind="stable").reset_index(drop=True)
     sep = int(pdf["separator"].iat[0])
-    boxes = SumOfSquares(int(pdf["capacity"].iat[0]) + sep)
-    where = [boxes.place(int(z) + sep) for z in pdf["size"]]
+    capacity = int(pdf["capacity"].iat[0]) + sep
+    boxes = SumOfSquares(capacity) if pdf["first"].iat[0] else FullestFirst(capacity)
+    where = np.array([boxes.place(int(z) + sep) for z in pdf["size"]], np.int64)
     used = np.array(boxes.used, np.int64)
-    where = np.array(where, np.int64)
+    # a shard knows of the others' containers only that they may be as empty as one token; after a
+    # round of whole containers its own two open ones are all that can matter
+    shut = used >= capacity if pdf["first"].iat[0] else closed(used, capacity)
     out = pdf[["pack_name", "shard", "key"]].copy()
     out["box"] = where
     out["level"] = used[where] - sep
+    out["shut"] = shut[where]
     return out
 
 
-_PACKED = "pack_name string, shard long, key string, box long, level long"
+_PACKED = "pack_name string, shard long, key string, box long, level long, shut boolean"
 
 
 def pack_items(items: DataFrame, packs: list[tuple[str, int, int]]) -> DataFrame:
@@ -88,22 +134,31 @@ def pack_items(items: DataFrame, packs: list[tuple[str, int, int]]) -> DataFrame
     n_shards = F.create_map(*(x for n, k in shards.items() for x in (F.lit(n), F.lit(k).cast("long"))))
     work = items.select("pack_name", F.pmod(F.xxhash64("item"), n_shards[F.col("pack_name")]).alias("shard"), F.xxhash64("item", F.lit(1)).alias("rank"), F.col("item").alias("key"), "size")
     with_dims = work.select("*", dims[F.col("pack_name")]["c"].alias("capacity"), dims[F.col("pack_name")]["s"].alias("separator"))
+    with_dims = with_dims.withColumn("first", F.lit(True))
     packed = checkpointed(with_dims.groupBy("pack_name", "shard").applyInPandas(_pack, _PACKED))
     name = F.concat_ws(".", F.col("shard").cast("string"), F.col("box").cast("string"))
     placed = packed.select("pack_name", F.col("key").alias("item"), name.alias("container"))
-    boxes = packed.select("pack_name", "shard", name.alias("container"), F.col("level")).distinct()
+    boxes = packed.select("pack_name", "shard", name.alias("container"), "level", "shut").distinct()
     most, turn = max(shards.values()), 0
     while most > 1:
         most, turn = -(-most // FAN_IN), turn + 1
         cap = dims[F.col("pack_name")]["c"]
-        open_ = boxes.where(F.col("level") + dims[F.col("pack_name")]["s"] < cap)
+        room = F.col("level") + dims[F.col("pack_name")]["s"]
+        # nothing fits where not even the emptiest open container of the pack would
+        least = {r["pack_name"]: r["least"] for r in boxes.where(~F.col("shut") & (room < cap)).groupBy("pack_name").agg(F.min("level").alias("least")).collect()}  # MAX_PACKS rows at most
+        caps = {n: c - s for n, c, s in packs}
+        least = {n: k for n, k in least.items() if 2 * k <= caps[n]}
+        if not least:
+            break
+        emptiest = F.create_map(*(x for n, k in least.items() for x in (F.lit(n), F.lit(k).cast("long"))))[F.col("pack_name")]
+        open_ = boxes.where(~F.col("shut") & (room + emptiest <= cap))
         again = open_.select("pack_name", F.floor(F.col("shard") / FAN_IN).alias("shard"), (-F.col("level")).alias("rank"), F.col("container").alias("key"), F.col("level").alias("size"))
-        again = again.select("*", cap.alias("capacity"), dims[F.col("pack_name")]["s"].alias("separator"))
+        again = again.select("*", cap.alias("capacity"), dims[F.col("pack_name")]["s"].alias("separator"), F.lit(False).alias("first"))
         moved = checkpointed(again.groupBy("pack_name", "shard").applyInPandas(_pack, _PACKED))
         new = F.concat_ws(".", F.lit(f"r{turn}"), F.col("shard").cast("string"), F.col("box").cast("string"))
-        moved = moved.select("pack_name", "shard", F.col("key").alias("container"), new.alias("to"), "level")
+        moved = moved.select("pack_name", "shard", F.col("key").alias("container"), new.alias("to"), "level", "shut")
         placed = placed.join(moved.select("pack_name", "container", "to"), ["pack_name", "container"], "left").select("pack_name", "item", F.coalesce("to", "container").alias("container"))
-        boxes = moved.select("pack_name", "shard", F.col("to").alias("container"), "level").distinct()
+        boxes = moved.select("pack_name", "shard", F.col("to").alias("container"), "level", "shut").distinct()
     return placed.select("pack_name", "container", "item")
 
 
