@@ -20,6 +20,14 @@ def p1_report(spark, d):
     return cross_split.cross_split_report(table(spark, d, INT), "interaction_id", "raw_input", "split", "data_origin")
 
 
+def p1_links(spark, d):
+    """One row per linked record: its class of equal texts and the classes of the other side it is linked to."""
+    links, members = cross_split.cross_split_links(table(spark, d, INT), "interaction_id", "raw_input", "split")
+    both = links.select(F.col("a").alias("k"), F.col("b").alias("o"), F.lit(cross_split.EVAL).alias("side")).unionByName(links.select(F.col("b").alias("k"), F.col("a").alias("o"), F.lit(cross_split.TRAIN).alias("side")))
+    n = both.groupBy("k", "side").agg(F.countDistinct("o").alias("n_links"))
+    return members.select("id", "k", "side").distinct().join(n, ["k", "side"]).select(F.col("id").alias("interaction_id"), F.col("k").alias("class_id"), F.when(F.col("side") == cross_split.EVAL, "evaluation").otherwise("training").alias("side"), "n_links")
+
+
 def p2_found(spark, d):
     return pairs.pair_defects(table(spark, d, INT), "interaction_id", "raw_input", "assistant_output").withColumnRenamed("id", "interaction_id")
 
@@ -35,6 +43,14 @@ def p3_pieces(spark, d):
     return pieces.withColumnRenamed("id", "chunk_id")
 
 
+def p3_checked(spark, d):
+    """Per chunk text: its pieces are within the limit, and put together without their overlaps they are the text."""
+    rows = table(spark, d, "reference_chunks").where("text is not null").select(F.struct("chunk_id", F.md5("text").alias("of")).alias("id"), "text").distinct()
+    p = splitting.split_texts(rows.withColumn("id", F.to_json("id")), "id", "text").groupBy("id").agg(F.sort_array(F.collect_list(F.struct("piece_no", "n_repeated", "piece"))).alias("p"))
+    text = F.array_join(F.transform("p", lambda x: F.substring(x["piece"], x["n_repeated"] + 1, F.length(x["piece"]))), "")
+    return p.select(F.get_json_object("id", "$.chunk_id").alias("chunk_id"), F.md5(text).alias("text_md5"), F.forall("p", lambda x: F.length(x["piece"]) <= splitting.LIMIT).alias("within"))
+
+
 _PAGES = ("page_id", "content", ["canonical_url", "url"])
 
 
@@ -87,6 +103,20 @@ def p10_clean(spark, d):
     return clean.withColumnRenamed("id", "doc_id")
 
 
+def p10_checked(spark, d):
+    """The texts rebuilt from the placeholders' surroundings and the values found: nothing else is changed."""
+    docs = table(spark, d, "documents").select("doc_id", "text")
+    spans = p10_spans(spark, d).distinct().groupBy("id").agg(F.sort_array(F.collect_list(F.struct("start_pos", "end_pos", "value"))).alias("s"))
+    rows = docs.join(spans, docs["doc_id"] == spans["id"], "left")
+    piece = F.aggregate(
+        F.coalesce("s", F.array().cast("array<struct<start_pos:int,end_pos:int,value:string>>")),
+        F.struct(F.lit("").alias("t"), F.lit(0).alias("at")),
+        lambda a, x: F.struct(F.concat(a["t"], F.substring(F.col("text"), a["at"] + 1, x["start_pos"] - a["at"]), x["value"]).alias("t"), x["end_pos"].alias("at")),
+        lambda a: F.concat(a["t"], F.substring(F.col("text"), a["at"] + 1, F.length("text"))),
+    )
+    return rows.select("doc_id", F.md5(piece).alias("text_md5"))
+
+
 _TITLED = ("page_id", "content", "title", ["canonical_url", "url"])
 
 
@@ -112,6 +142,16 @@ def p8_report(spark, d):
     return packing.packing_report(packing.pack_texts(_sizes(spark, d), packs), packs)
 
 
+def p8_checked(spark, d):
+    """Per pack and document: placed once and whole, cut only where it is larger than the container, and no container too full."""
+    packs = table(spark, d, "pack_sizes").distinct()
+    placed = packing.pack_texts(_sizes(spark, d), packs).join(F.broadcast(packs), "pack_name")
+    full = placed.groupBy("pack_name", "container").agg((F.sum(F.col("n_tokens") + F.col("separator_tokens")) <= F.max(F.col("capacity_tokens") + F.col("separator_tokens"))).alias("fits"))
+    per = placed.join(full, ["pack_name", "container"]).groupBy("pack_name", "id").agg(F.bool_and("fits").alias("fits"), F.count(F.lit(1)).alias("n"), F.sum("n_tokens").alias("t"), F.max("capacity_tokens").alias("c"), F.countDistinct("part_no").alias("parts"), F.max(F.col("start_token") + F.col("n_tokens")).alias("end"))
+    whole = (F.col("n") == F.col("parts")) & (F.col("end") == F.col("t")) & (F.col("n") == F.ceil(F.col("t") / F.col("c")))
+    return per.select("pack_name", F.col("id").alias("doc_id"), "fits", whole.alias("whole"))
+
+
 def p9_mixed(spark, d):
     """The documents drawn for each slot of each mix."""
     return mixing.mix_sources(_sizes(spark, d), table(spark, d, "mix_targets"))[0].withColumnRenamed("id", "doc_id")
@@ -121,7 +161,17 @@ def p9_report(spark, d):
     return mixing.mix_sources(_sizes(spark, d), table(spark, d, "mix_targets"))[1]
 
 
-QUERIES = {"p8_packed": p8_packed, "p8_report": p8_report, "p9_mixed": p9_mixed, "p9_report": p9_report, "p7_found": p7_found, "p7_main": p7_main, "p10_found": p10_found, "p10_clean": p10_clean, "p6_found": p6_found, "p6_leaks": p6_leaks, "p5_found": p5_found, "p5_lines": p5_lines, "p5_rejected": p5_rejected, "p5_clean": p5_clean, "p3_found": p3_found, "p3_pieces": p3_pieces, "p2_found": p2_found, "p1_found": p1_found, "p1_report": p1_report}
+def p9_checked(spark, d):
+    """The report computed again from what was drawn: no record used too often, tokens and shares as reported."""
+    targets = table(spark, d, "mix_targets").select("mix_name", "source", "max_repeats").distinct()
+    drawn, report = mixing.mix_sources(_sizes(spark, d), table(spark, d, "mix_targets"))
+    per = drawn.groupBy("mix_name", "source", "id").agg(F.count(F.lit(1)).alias("n"), F.sum("n_tokens").alias("t")).groupBy("mix_name", "source").agg(F.max("n").alias("most"), F.sum("t").alias("t"))
+    rows = report.join(per, ["mix_name", "source"], "left").join(targets, ["mix_name", "source"])
+    right = (F.coalesce("t", F.lit(0)) == F.col("tokens")) & (F.coalesce("most", F.lit(0)) == F.col("most_repeats"))
+    return rows.select("mix_name", "source", "target_share", (F.coalesce("most", F.lit(0)) <= F.col("max_repeats")).alias("within_cap"), right.alias("as_reported"))
+
+
+QUERIES = {"p1_links": p1_links, "p3_checked": p3_checked, "p8_checked": p8_checked, "p9_checked": p9_checked, "p10_checked": p10_checked, "p8_packed": p8_packed, "p8_report": p8_report, "p9_mixed": p9_mixed, "p9_report": p9_report, "p7_found": p7_found, "p7_main": p7_main, "p10_found": p10_found, "p10_clean": p10_clean, "p6_found": p6_found, "p6_leaks": p6_leaks, "p5_found": p5_found, "p5_lines": p5_lines, "p5_rejected": p5_rejected, "p5_clean": p5_clean, "p3_found": p3_found, "p3_pieces": p3_pieces, "p2_found": p2_found, "p1_found": p1_found, "p1_report": p1_report}
 _P5 = r"""
 WITH pages AS (
   SELECT page_id, content, regexp_replace(regexp_replace(lower(regexp_extract(coalesce(canonical_url, url), '//([^/?#]*)', 1)), ':[0-9]+$', ''), '^www\.', '') AS site FROM health_pages),
@@ -150,4 +200,19 @@ y AS (SELECT *, CASE WHEN n2 > 0 THEN (k1 + k2) / (n1 + n2) ELSE 1 / n1 END AS p
 g AS (SELECT *, 2 * (CASE WHEN k1 > 0 THEN k1 * ln(k1 / n1 / p) ELSE 0 END + CASE WHEN n1 > k1 THEN (n1 - k1) * ln((n1 - k1) / n1 / (1 - p)) ELSE 0 END + CASE WHEN k2 > 0 THEN k2 * ln(k2 / n2 / p) ELSE 0 END + CASE WHEN n2 > k2 THEN (n2 - k2) * ln((n2 - k2) / n2 / (1 - p)) ELSE 0 END) AS g FROM y)
 SELECT site, form, k1::BIGINT AS pages, n1::BIGINT AS site_pages, k2::BIGINT AS outside, round(CASE WHEN n2 > 0 AND k1 / n1 <= k2 / n2 THEN 0 ELSE g END, 4) AS ratio, repeated FROM g"""
 )
-ORACLE: dict[str, str] = {"p5_lines": _P5_LINES, "p5_found": _P5, "p5_clean": _P5_CLEAN, "p3_found": "SELECT DISTINCT chunk_id FROM reference_chunks WHERE length(text) > 1200"}
+#: words after the folding of full-width forms, the only compatibility forms in these tables; the second engine has no NFKC
+_WIDE, _PLAIN = "".join(map(chr, range(0xFF10, 0xFF5B))), "".join(map(chr, range(0x30, 0x7B)))
+_FOLDED = f"regexp_extract_all(lower(translate(regexp_replace({{c}}, '[­​-‏⁠-⁤﻿᠎]', '', 'g'), '{_WIDE}', '{_PLAIN}')), '[\\p{{{{L}}}}\\p{{{{N}}}}]+')"
+_GRAMS = "unnest(list_transform(range(1, greatest(len(w) - 8, 1)), lambda i: array_to_string(w[i:i + 9], ' ')))"
+_P6 = f"""WITH b AS (SELECT benchmark_id, {_FOLDED.format(c='input')} AS w FROM benchmark_eval_set), bg AS (SELECT DISTINCT benchmark_id, {_GRAMS} AS g FROM b WHERE len(w) >= 10),
+t AS (SELECT interaction_id, {_FOLDED.format(c='t')} AS w FROM (SELECT interaction_id, unnest([raw_input, assistant_output]) AS t FROM interaction_examples WHERE regexp_replace(lower(split), '^\\s+|\\s+$', '', 'g') IN ('train', 'safety_train')) WHERE t IS NOT NULL),
+tg AS (SELECT interaction_id, {_GRAMS} AS g FROM t WHERE len(w) >= 10)
+SELECT DISTINCT benchmark_id, interaction_id FROM tg JOIN bg USING (g)"""
+_MIXES = "SELECT DISTINCT mix_name, source, target_share, true AS within_cap, true AS as_reported FROM mix_targets WHERE target_share > 0"
+ORACLE: dict[str, str] = {
+    "p3_checked": "SELECT DISTINCT chunk_id, md5(text) AS text_md5, true AS within FROM reference_chunks WHERE text IS NOT NULL",
+    "p8_checked": "SELECT DISTINCT pack_name, doc_id, true AS fits, true AS whole FROM documents, pack_sizes WHERE text <> ''",
+    "p9_checked": _MIXES,
+    "p10_checked": "SELECT doc_id, md5(text) AS text_md5 FROM documents",
+    "p6_found": _P6,
+    "p5_lines": _P5_LINES, "p5_found": _P5, "p5_clean": _P5_CLEAN, "p3_found": "SELECT DISTINCT chunk_id FROM reference_chunks WHERE length(text) > 1200"}

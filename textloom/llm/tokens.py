@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import base64
-import importlib.util
 import os
 from functools import lru_cache, partial
 
@@ -14,20 +13,19 @@ from pyspark.sql import functions as F
 from ..session import map_pandas
 
 VOCABULARY = os.environ.get("TEXTLOOM_VOCABULARY", "/opt/tokenizers/byte_bpe_50k.tiktoken")
+#: Fixed value: the pattern that splits a text before the merges of these byte-level vocabularies.
+PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 #: longer texts are counted in parts cut at white space, so that no call holds more
 PART = 1 << 20
 
 
 @lru_cache(maxsize=4)
-def encoding(path: str):
+def encoding(path: str, pattern: str = PATTERN):
     import tiktoken
 
-    spec = importlib.util.spec_from_file_location("_vocabularies", os.path.join(os.path.dirname(path), "__init__.py"))
-    module = importlib.util.module_from_spec(spec)
-    spec.loader.exec_module(module)
     with open(path, "rb") as f:
         ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
-    return tiktoken.Encoding("public", pat_str=module.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    return tiktoken.Encoding("public", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
 
 
 def count_tokens(text: str, path: str = VOCABULARY) -> int:
