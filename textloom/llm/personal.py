@@ -47,7 +47,7 @@ _SPELLED = re.compile(r"\sat\s", re.I)
 
 # -- numbers
 PHONE = re.compile(
-    r"(?<![\w./+(:-])(?:"
+    r"(?<![\w./+(:-])(?=[\d(+])(?:"
     r"(?:\+|00)\d{1,3}[ .\-/]?\(?\d{1,5}\)?(?:[ .\-/]?\d{2,5}){1,4}"  # with a country code
     r"|\(0?\d{2,5}\)[ .\-/]?\d{3,4}[ .\-/]?\d{3,4}"  # area code in brackets
     r"|(?:1[ .\-])?[2-9]\d{2}([ .\-])\d{3}\1\d{4}"
@@ -56,9 +56,9 @@ PHONE = re.compile(
     r")(?![\w]|[-/.]\d)"
 )
 #: numbers that only their check digits give away
-CHECKED = re.compile(r"(?<![\w+./-])(?:[A-Z]{2}\d\d(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?|\d{13,19}|\d{4}(?:-\d{4}){3})(?![\w]|[-/]\d)")
+CHECKED = re.compile(r"(?<![\w+./-])(?=[A-Z]{2}\d\d|\d{4}[\d-])(?:[A-Z]{2}\d\d(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?|\d{13,19}|\d{4}(?:-\d{4}){3})(?![\w]|[-/]\d)")
 ID = re.compile(
-    r"(?<![\w+./-])(?:"
+    r"(?<![\w+./-])(?=[-A-Z\d])(?:"
     r"[A-Z]{2} ?\d\d ?\d\d ?\d\d ?[A-D A-Z](?<=[A-Z])"
     r"|[A-Z]{1,2}\d{6,9}[A-Z]?"
     r"|\d{3} \d\d \d{4}|\d{3}-\d\d-\d{4}"
@@ -78,7 +78,7 @@ _UNIT = r"(?:Flat|Apt\.?|Apartment|Unit|Suite|Room|House|Floor|Wohnung|Whg\.?|Ap
 _NO = r"\d{1,5}(?: ?[A-Za-z](?![\w]))?(?:\s?[-/–]\s?\d{1,4}[A-Za-z]?)?"
 _CITY = rf"(?:\d{{4,5}}\s+)?{_CAP}(?:[ -]{_CAP})?(?:,? [A-Z]{{2}} \d{{5}}| [A-Z]{{1,2}}\d[\dA-Z]? \d[A-Z]{{2}})?"
 ADDRESS = re.compile(
-    rf"(?<![\w])(?:"
+    rf"(?<![\w])(?=[A-ZÀ-ÖØ-Þ\d])(?:"
     rf"(?:{_UNIT}\s?(?:no\.?\s?)?[\dA-Z]{{1,5}}[a-z]?\s?,?\s+)?{_NO},?\s+(?:{_CAP}\s+){{1,3}}{_STREET}\b\.?(?:,?\s+{_UNIT}\s?#?[\dA-Za-z]{{1,5}})?"
     rf"|(?:{_UNIT}\s?[\dA-Z]{{1,5}}\s?,?\s+)?{_NO},?\s+(?:bis |ter )?(?:[Rr]ue|[Aa]venue|[Bb]oulevard|[Aa]llée|[Pp]lace|[Cc]hemin|[Qq]uai|[Ii]mpasse|[Cc]ours|[Rr]oute)\s+(?:(?:de|du|des|la|le|les)\s+|d['’]|de l['’]|l['’])*{_CAP}"
     rf"|(?:Calle|C/|Avenida|Avda\.?|Plaza|Paseo|Camino|Carretera|Ronda|Travesía)\s?(?:(?:de|del|la|las|los|el)\s+)*{_CAP}(?:\s+{_CAP})?,?\s+(?:n\.?º\s?)?\d{{1,4}}[A-Za-z]?(?:,?\s+\d{{1,2}}\.?[ºª](?:\s?[A-Z](?![\w]))?)?"
@@ -104,8 +104,8 @@ ORDINARY = set(
 AMBIGUOUS = set("April May June August Hope Faith Grace Dawn Ivy Rose Joy Summer Autumn Will Mark Bill Art Rich Violet Olive Pearl Ruby Amber Iris Lily Daisy Heather Holly Hazel Robin Jasmine Sage Angel Destiny Harmony Melody Penny Patience Charity Prudence Constance Chance Max Victor Frank Ernest Guy Gene Jack Dolores Pilar Consuelo Mercedes Rosa Alba Sol Luz Paz Clemence Aimé Reine Blanche Claire Pascal Noël Ernst Wolf Karl Clara Vera Mira Nora Celia Hana Amara Thea Tuva Noor".split()) - set("Karl Clara Vera Mira Nora Celia Hana Amara Thea Tuva Noor".split())
 _CAPITAL = re.compile(rf"(?<![\w@.+'’-])(?:[A-Z]\.\s?)*{_SUR}(?![\w@]|\.\w)")
 _ONE = rf"(?:(?:[A-Z]\.[ ]?){{1,2}}{_SUR}|{_CAP}(?:[ ](?:[A-Z]\.|(?:van|von|de|del|della|da|di|du|der|den|la|le|bin|al)))*[ ]{_SUR}|{_SUR},[ ]{_CAP}|{_CAP}[ ][A-Z]\.|{_SUR})"
-LEAD_NAME = re.compile(rf"{_LEADS}\s*(?:{TITLES}\s+)*({_ONE})")
-TITLE_NAME = re.compile(rf"(?<![\w-]){TITLES}[ ]+(?:{TITLES}[ ]+)*({_ONE})")
+LEAD_NAME = re.compile(rf"(?<!\w)(?=[AaBbCcDdFfGIJKkLMmNnPpQRrSsTUVvWwYy]){_LEADS}\s*(?:{TITLES}\s+)*({_ONE})")
+TITLE_NAME = re.compile(rf"(?<![\w-])(?=[CDEFHIMNPRS]){TITLES}[ ]+(?:{TITLES}[ ]+)*({_ONE})")
 AFTER_NAME = re.compile(rf"(?<![\w@.+-])(?:{TITLES}[ ]+)*({_ONE})$")
 BLOCK_NAME = re.compile(rf"(?:(?<=\n)|(?<=[.!?)][ ])|^)(?:{TITLES}[ ]+)*({_ONE})[ \t]*\n[ \t]*$")
 SLASH_NAME = re.compile(rf"(?:(?<=\n)|(?<=[.!?][ ])|^)(?:{TITLES}[ ]+)*({_ONE})(?=[ ]/[ ])", re.M)
@@ -186,14 +186,7 @@ class Finder:
 
     def _names(self, text: str):
         found = []
-        cues = [m.span(1) for m in TITLE_NAME.finditer(text)]
-        at = 0
-        while m := LEAD_NAME.search(text, at):
-            # a lead-in begins a word; the pattern is quicker without saying so
-            inside = m.start() and (text[m.start() - 1].isalnum() or text[m.start() - 1] == "_")
-            at = m.start() + 1 if inside else m.end()
-            if not inside:
-                cues.append(m.span(1))
+        cues = [m.span(1) for rx in (TITLE_NAME, LEAD_NAME) for m in rx.finditer(text)]
         for v in _AFTER.finditer(text):
             m = AFTER_NAME.search(text, max(0, v.start() - 60), v.start())
             if m and not _PLACE_BEFORE.search(text, max(0, m.start() - 12), m.start()):
