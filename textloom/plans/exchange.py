@@ -153,8 +153,7 @@ def paged_candidates(spark, d):
     named = last.select(F.concat_ws("_", "priority", F.when(F.col("page") == 0, "first").otherwise(F.concat(F.lit("c"), F.col("page").cast("string")))).alias("name"), text.alias("text"))
     K.write_file_per_key(named, "name", "text", at, ".json")
     queries = sorted(r[0] for r in rows.select("priority").distinct().collect())  # a handful of queries
-    folder = at.removeprefix("file://") if at.startswith("file:///") else at
-    return P.candidates(P.read_pages(spark, "textloom.sources.paged:folder_page", queries, folder=folder))
+    return P.candidates(P.read_pages(spark, "textloom.sources.paged:folder_page", queries, folder=K.folder_of(at)))
 
 
 def enriched_candidates(spark, d):
@@ -164,9 +163,8 @@ def enriched_candidates(spark, d):
     work = rows.select(F.col("benchmark_id").alias("doi"), own.alias("license"), F.concat(F.lit("PMC"), "benchmark_id").alias("pmcid"), (F.length("input") % 5 == 0).alias("enriched"))
     said = F.to_json(F.struct(F.when(F.length("input") % 2 == 0, "cc0").otherwise(" ").alias("license"), F.col("scenario").alias("journal")))
     K.write_file_per_key(rows.where(F.length("input") % 7 != 0).withColumn("text", said), "benchmark_id", "text", at, ".json")
-    folder = at.removeprefix("file://") if at.startswith("file:///") else at
     open_ = P.to_enrich(work, refresh=True).drop("enriched")
-    found = P.lookup(open_, "doi", "textloom.sources.paged:folder_record", folder=folder)
+    found = P.lookup(open_, "doi", "textloom.sources.paged:folder_record", folder=K.folder_of(at))
     got = P.enrich(open_, found.where("value is not null"), "doi", ["license", "journal"], "license string, journal string")
     fine = spark.createDataFrame([("cc-by",), ("CC0",)], "license string")
     return P.eligible(got, fine).select("doi", "license", "journal", "pmcid")

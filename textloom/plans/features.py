@@ -29,6 +29,17 @@ def extract_ages(spark, d):
     return X.extract(_inputs(spark, d), "id", "text").select("id", "age_years", "sleep_hours")
 
 
+#: a rule table of its own for documents: the compiler takes any
+_DOC_FLAGS = {"names_a_visit": ("appointment", "visit the"), "is_question": ("?",)}
+_DOC_CHOICES = {"tone": ((("urgent", ("at once", "emergency")), ("calm", ("usually", "as a rule"))), "plain")}
+_DOC_LISTS = {"themes": (("bleeding", ("bleed",)), ("sleep", ("sleep", "tired")), ("pain", ("pain", "ache")))}
+
+
+def compiled_rules(spark, d):
+    c = X.compile_rules(F.lower("text"), _DOC_FLAGS, _DOC_CHOICES, _DOC_LISTS)
+    return table(spark, d, "documents").where("text is not null").select("doc_id", *(c[k].alias(k) for k in (*_DOC_FLAGS, *_DOC_CHOICES)), F.array_join(c["themes"], ";").alias("themes"))
+
+
 def varied_answers(spark, d):
     rows = table(spark, d, "interaction_examples").where("assistant_output is not null").select("interaction_id", "assistant_output").distinct()
     return A.varied(rows, "interaction_id", "assistant_output", _OPEN, _CLOSE, ("Thank you for writing.",))
@@ -88,10 +99,11 @@ _TAKEN = " || ".join(f"CASE WHEN ('0x' || substr(md5({_q(x)} || id), 1, 8))::BIG
 _SCALED = f"""WITH t AS (SELECT benchmark_id, input, row_number() OVER (ORDER BY md5(concat_ws('|', benchmark_id, input))) - 1 AS k, count(*) OVER () AS n FROM benchmark_eval_set),
 m AS (SELECT id, benchmark_id, input || {_TAKEN} AS raw_input FROM (SELECT range AS id FROM range(2000)) JOIN t ON id % n = k), f AS (SELECT raw_input, min(id) AS id FROM m GROUP BY 1)
 SELECT m.id AS row_no, benchmark_id, m.raw_input FROM m JOIN f ON m.id = f.id AND m.raw_input = f.raw_input ORDER BY 1 LIMIT 1000"""
-QUERIES = {f.__name__: f for f in (extract_features, extract_ages, varied_answers, scaled_interactions)}
+QUERIES = {f.__name__: f for f in (extract_features, extract_ages, compiled_rules, varied_answers, scaled_interactions)}
 ORACLE = {
     "extract_features": _SQL,
     "extract_ages": _AGES,
+    "compiled_rules": "SELECT doc_id, " + ", ".join(f"{_any(p)} AS {k}" for k, p in _DOC_FLAGS.items()) + ", CASE WHEN contains(t, 'at once') OR contains(t, 'emergency') THEN 'urgent' WHEN contains(t, 'usually') OR contains(t, 'as a rule') THEN 'calm' ELSE 'plain' END AS tone, array_to_string(list_filter([" + ", ".join(f"CASE WHEN {_any(p)} THEN '{v}' END" for v, p in _DOC_LISTS["themes"]) + "], lambda x: x IS NOT NULL), ';') AS themes FROM (SELECT doc_id, lower(text) AS t FROM documents WHERE text IS NOT NULL)",
     "scaled_interactions": _SCALED,
     "varied_answers": f"SELECT DISTINCT interaction_id, {_pick('open', _OPEN)} || ' ' || trim(regexp_replace(replace(assistant_output, 'Thank you for writing.', ''), '[ \\t\\n\\x0B\\f\\r\\x85\\p{{Z}}]+', ' ', 'g'), ' ') || ' ' || {_pick('close', _CLOSE)} AS assistant_output FROM interaction_examples WHERE assistant_output IS NOT NULL",
 }

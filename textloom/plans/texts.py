@@ -116,6 +116,19 @@ def page_links(spark, d):
     return links.select("page_id", "url", F.col("pos").cast("long").alias("pos"), "target")
 
 
+def search_links(spark, d):
+    """The first three results of each kind among the links of a results page made of the host's pages."""
+    pages = table(spark, d, "health_pages").select(U.domain(F.col("url")).alias("host"), "page_id").distinct().groupBy("host").agg(F.sort_array(F.collect_set("page_id")).alias("ids"))
+    links = F.flatten(F.transform("ids", lambda i: F.array(F.concat(F.lit("/"), i.cast("string"), F.lit("/")), F.concat(F.lit("/wiki/P"), i.cast("string"), F.lit("x")), F.lit("/wiki/Special:All"))))
+    return pages.select("host", F.array_join(U.search_hits(links, "article", 3), " ").alias("articles"), F.array_join(U.search_hits(links, "wiki", 3), " ").alias("wiki"))
+
+
+def content_gate(spark, d):
+    """Pages whose content type is HTML, the type told by the page's language and status."""
+    kind = F.when(F.col("http_status") >= 400, "application/json").when(F.col("language").isNull(), "Text/HTML; charset=utf-8").otherwise(F.concat(F.lit("application/xhtml+xml; lang="), "language"))
+    return table(spark, d, "health_pages").groupBy(U.is_html(kind).alias("is_html")).agg(F.countDistinct("page_id").alias("n"))
+
+
 def path_filter(spark, d):
     return table(spark, d, "health_pages").groupBy(U.path_allowed(F.col("url")).alias("allowed")).agg(F.countDistinct("page_id").alias("n"))
 
@@ -142,7 +155,7 @@ _BLOCK = " OR ".join(f"contains(lower(url), {_q(b)})" for b in U.BLOCKED) + " OR
 _HTML = f"""WITH h AS (SELECT DISTINCT page_id, url, translate(coalesce(title, ''), '<>&' || chr(13), '') AS title, language, coalesce(publication_date, '') AS publication_date, list_transform(string_split(content, chr(10)), lambda x: translate(x, '<>&' || chr(13), '')) AS lines FROM health_pages WHERE content IS NOT NULL),
 s AS (SELECT *, list_filter(list_transform(lines, lambda x: trim(regexp_replace(x, {_q(_WS)}, ' ', 'g'))), lambda x: length(x) > 20) AS said FROM h)
 """
-QUERIES = {f.__name__: f for f in (normalize_ws, slugify, strip_tags, sentence_split, sentence_dedup, clean_text, first_lines, license_norm, topic_infer, org_infer, name_domain, url_canonical, url_host, url_filter, host_counts, host_allowed, host_cap_first_n, page_fields, page_links, path_filter)}
+QUERIES = {f.__name__: f for f in (normalize_ws, slugify, strip_tags, sentence_split, sentence_dedup, clean_text, first_lines, license_norm, topic_infer, org_infer, name_domain, url_canonical, url_host, url_filter, host_counts, host_allowed, host_cap_first_n, page_fields, page_links, search_links, content_gate, path_filter)}
 ORACLE = {
     "normalize_ws": f"SELECT DISTINCT page_id, md5(trim(regexp_replace(content, '{_WS}', ' ', 'g'))) AS text_md5 FROM health_pages",
     "slugify": "SELECT doc_id, regexp_replace(regexp_replace(lower(title), '[^a-z0-9]+', '_', 'g'), '^_+|_+$', '', 'g') AS slug FROM documents",
@@ -161,6 +174,8 @@ ORACLE = {
     "host_counts": f"SELECT {_DOM} AS host, count(DISTINCT page_id) AS n FROM health_pages GROUP BY 1 ORDER BY n DESC, host LIMIT 5",
     "host_allowed": f"SELECT DISTINCT page_id FROM health_pages WHERE regexp_matches({_DOM}, '(^|[.])(org[.]example|health[.]example|test)$')",
     "host_cap_first_n": f"WITH f AS (SELECT page_id, url, fetched_at FROM (SELECT *, row_number() OVER (PARTITION BY page_id ORDER BY fetched_at, url) AS r FROM health_pages) WHERE r = 1), h AS (SELECT {_DOM} AS host, page_id, fetched_at FROM f) SELECT host, page_id FROM (SELECT *, row_number() OVER (PARTITION BY host ORDER BY fetched_at, page_id) AS r FROM h) WHERE r <= 3",
+    "search_links": f"WITH p AS (SELECT host, list(page_id ORDER BY page_id)[1:3] AS i FROM (SELECT DISTINCT {_DOM} AS host, page_id FROM health_pages) GROUP BY 1) SELECT host, array_to_string(list_transform(i, lambda x: '/' || x || '/'), ' ') AS articles, array_to_string(list_transform(i, lambda x: '/wiki/P' || x || 'x'), ' ') AS wiki FROM p",
+    "content_gate": "SELECT contains(CASE WHEN http_status >= 400 THEN 'json' WHEN language IS NULL THEN 'html' ELSE 'xhtml' END, 'html') AS is_html, count(DISTINCT page_id) AS n FROM health_pages GROUP BY 1",
     "path_filter": "SELECT (" + " OR ".join(f"contains(lower(url), {_q(k)})" for k in U.PATH_KEYWORDS) + ") AS allowed, count(DISTINCT page_id) AS n FROM health_pages GROUP BY 1",
     "page_fields": _HTML + f"""SELECT DISTINCT page_id, CASE WHEN trim(title) <> '' THEN trim(regexp_replace(title, {_q(_WS)}, ' ', 'g')) ELSE 'Crawled Page: ' || url END AS title, coalesce(lower(substr(nullif(regexp_extract(language, '^[A-Za-z-]+'), ''), 1, 2)), 'en') AS language,
  CASE WHEN length(publication_date) >= 4 AND NOT regexp_matches(publication_date, '["'']') THEN split_part(trim(publication_date), 'T', 1) ELSE '' END AS published, len(said) AS n_paragraphs, length(array_to_string(said, ' ')) AS content_len, md5(array_to_string(said, ' ')) AS content_md5 FROM s""",

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import re
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -69,11 +70,15 @@ def drop_versions(spark: SparkSession, root: str, keep: int = 2) -> None:
         fs.delete(_fs(spark, f"{root}/{x}")[1], True)
 
 
+def folder_of(path: str) -> str:
+    """A path on the executors' own file system without its scheme; other schemes stay."""
+    return re.sub(r"^file:/+", "/", path)
+
+
 def _save(rows, folder: str, suffix: str):
     from pyarrow import fs as arrow_fs
 
-    # a path without a scheme is a folder that all executors see, as for Spark's own writers
-    fs, base = arrow_fs.FileSystem.from_uri(folder if "://" in folder or folder.startswith("/") else f"/{folder}")
+    fs, base = arrow_fs.FileSystem.from_uri(folder)
     fs.create_dir(base, recursive=True)
     for r in rows:
         at = f"{base}/{r['key']}{suffix}"
@@ -89,7 +94,8 @@ def write_file_per_key(df: DataFrame, key: str, value: str, folder: str, suffix:
     Files that are there are kept, so a repeated task does no harm; null keys and values write nothing.
     """
     rows = df.select(F.col(key).cast("string").alias("key"), F.col(value).cast("binary").alias("value")).where("key is not null and value is not null")
-    rows.foreachPartition(lambda part: _save(part, folder.removeprefix("file://") if folder.startswith("file:///") else folder, suffix))
+    at = folder_of(folder)
+    rows.foreachPartition(lambda part: _save(part, at, suffix))
 
 
 def manifest(df: DataFrame, counts: dict, **facts) -> DataFrame:
