@@ -131,6 +131,30 @@ def test_a_fifth_changed_at_random_is_found(spark):
     assert {tuple(r) for r in X.cross_split_pairs(df, "id", "text", "split").collect()} == want
 
 
+def test_the_weighted_cosine_never_falls_below_its_bound():
+    """For pairs of the definition, whatever the frequencies; and the prefix is where the residual norm says."""
+    rng = random.Random(7)
+    a, b = [], []
+    for _ in range(300):
+        n = rng.choice([3, 5, 10, 40, 90])
+        x = [rng.choice(WORDS) + str(rng.randrange(3)) for _ in range(n)]
+        y = list(x)
+        for k in rng.sample(range(n), n - -(-4 * n // 5)):
+            y[k] = f"new{rng.randrange(10**6)}"
+        a.append(x)
+        b.append(y)
+    for seed in range(3):
+        freq = np.minimum(np.random.default_rng(seed).zipf(1.3, X.TABLE), 10**6)
+        cosine, least = X.cosines(a, b, freq, X.WordHashes())
+        assert (cosine >= least - 1e-9).all() and least.min() < 0.8 < cosine.max()
+        # by hand for one pair
+        d, t, w, norm, rest = X._weighted(X._Texts(X.WordHashes(), a[:1]), freq, float(freq.sum()))
+        missing = len(a[0]) - -(-4 * len(a[0]) // 5)
+        assert rest[0] == pytest.approx(1 - np.sort(w)[::-1][:missing].sum() / w.sum())
+        left = 1 - np.cumsum(np.sort(w)[::-1]) / w.sum()  # of the norm behind each term, by falling weight
+        assert (left >= rest[0] - 1e-12).sum() == missing
+
+
 def test_lists_as_matrices_lose_nothing(monkeypatch):
     monkeypatch.setattr(X, "DENSE", 1)
     monkeypatch.setattr(X, "TILE", 8)

@@ -5,20 +5,22 @@ A weighted cosine join between the evaluation side and the training side over in
 *Vectors.* A text is the vector of its numbered words ("the" the first time, "the" the second
 time), whatever its length: words that stand in both texts in order are shared numbered words, so
 the threshold of the definition is one of the vectors and nothing is lost. (Shingles are not used:
-changes at every third word leave none of them.) Weights are 1 over the square root of the number
-of words, so a vector has length one. An inverse-frequency weight was tried and left out: a few
-changed rare names then outweigh everything that stayed, and no threshold below which nothing is
-lost follows from the number of changed words.
-
-*Pruning.* Terms are ordered by rising frequency, counted over all rows in a table of fixed size.
-With equal weights inside a text, the largest weight a partner can have and the norm of what is
-left of a vector give: partners share at least ``t`` of the larger number of words, hence one of
-the first ``n - ceil(t * n) + 1`` of either; only these are put into the lists. Along a list a pair
-is dropped when the lengths differ too much, when what is left of either vector cannot reach the
-dot product still missing, or when a bound of the dot product from 48 packed word counts is too
-small. Where a list is long on both sides, that bound is first taken for all its pairs as a matrix
-product of the counts in unary. The pairs that remain are scored exactly: dot product, then longest
-common subsequence.
+changes at every third word leave none of them.) A term weighs ``ln(1 + N / f)`` by its frequency,
+counted over all rows in a table of fixed size.
+
+*Bound.* A partner shares at least ``t`` of the words, so at most the heaviest ``n - ceil(t n)``
+terms of a text are not shared: what it shares has at least the rest of its squared norm,
+``T = 1 - heaviest / norm^2``. A pair's cosine is thus at least ``sqrt(T_x T_y)``, a threshold of its
+own for every pair, below which no pair of the definition lies whatever the weights are.
+
+*Pruning.* Terms are ordered by falling weight. Once what is left of a vector has less than ``T`` of
+its squared norm, no partner can lie in that rest alone, so one of the terms before it is shared; with
+the bound above these are the heaviest ``n - ceil(t n) + 1`` terms, and only they are put into the
+lists. Along a list a pair is dropped when the lengths differ too much, when what is left of either
+vector cannot hold the words still missing, or when a bound of the shared words from 48 packed word
+counts is too small. Where a list is long on both sides, that bound is first taken for all its pairs
+as a matrix product of the counts in unary. The pairs that remain are scored by their exact dot
+product; those that reach their threshold are decided by the longest common subsequence.
 
 *Skew.* Exact copies in a task enter the lists once, copies from several tasks are united in the
 list. A list that is longer than ``LIST`` is cut into a grid of list pieces. The frequency table
@@ -27,7 +29,6 @@ decides on that and on the order only; it never drops a term.
 
 from __future__ import annotations
 
-from collections import Counter
 from functools import partial
 
 import numpy as np
@@ -333,19 +334,42 @@ def _members(it, wanted):
         yield out
 
 
-def _score(it):
+def _weighted(texts: _Texts, freq: np.ndarray, total: float):
+    """(text, term, squared weight) of all terms, the squared norms, and the share of the norm that a partner must hold."""
+    d, t = texts.terms()
+    w = np.log1p(total / np.maximum(freq[(t >> np.uint64(44)).astype(np.int64)], 1)) ** 2
+    norm = np.bincount(d, weights=w, minlength=len(texts.n))
+    order = np.lexsort((-w, d))
+    nth = np.arange(len(d)) - texts.at[d[order]]
+    missing = texts.n - np.ceil(SAME * texts.n - 1e-9)
+    heaviest = np.bincount(d[order], weights=np.where(nth < missing[d[order]], w[order], 0.0), minlength=len(texts.n))
+    return d, t, w, norm, 1 - heaviest / np.maximum(norm, 1e-300)
+
+
+def cosines(a: list[list[str]], b: list[list[str]], freq: np.ndarray, hashes: WordHashes) -> tuple[np.ndarray, np.ndarray]:
+    """The weighted cosine of each pair of texts, and the least that a pair of the definition has."""
+    total = float(freq.sum()) or 1.0
+    (da, ta, wa, na, ra), (db, tb, _, nb, rb) = (_weighted(_Texts(hashes, x), freq, total) for x in (a, b))
+    pair, term = np.concatenate((da, db)), np.concatenate((ta, tb))
+    w = np.concatenate((wa, np.zeros(len(tb))))
+    order = np.lexsort((np.concatenate((np.zeros(len(da)), np.ones(len(db)))), term, pair))
+    pair, term, w = pair[order], term[order], w[order]
+    both = np.flatnonzero((pair[1:] == pair[:-1]) & (term[1:] == term[:-1])) if len(pair) else np.zeros(0, np.int64)
+    dot = np.bincount(pair[both], weights=w[both], minlength=len(a))
+    return dot / np.sqrt(np.maximum(na * nb, 1e-300)), np.sqrt(np.maximum(ra * rb, 0))
+
+
+def _score(it, table):
+    freq, hashes = table.value, WordHashes()
     for pdf in it:
-        dots, orders = [], []
-        for x, y in zip(pdf["a_words"], pdf["b_words"], strict=True):
-            a, b = x.split(" "), y.split(" ")
-            n = max(len(a), len(b))
-            if x == y:
-                dots.append(1.0)
-                orders.append(1.0)
-                continue
-            orders.append(lcs_length(a, b) / n)
-            dots.append((Counter(a) & Counter(b)).total() / np.sqrt(len(a) * len(b)))
-        rows = [r for r in zip(pdf["a"].tolist(), pdf["b"].tolist(), dots, orders, strict=True) if r[3] >= SAME - 1e-9]
+        a, b = ([x.split(" ") for x in pdf[c]] for c in ("a_words", "b_words"))
+        cosine, least = cosines(a, b, freq, hashes)
+        rows = []
+        for k in np.flatnonzero(cosine >= least - 1e-9):
+            x, y = a[k], b[k]
+            same = 1.0 if x == y else lcs_length(x, y) / max(len(x), len(y))
+            if same >= SAME - 1e-9:
+                rows.append((pdf["a"].iat[k], pdf["b"].iat[k], min(1.0, float(cosine[k])), same))
         if rows:
             yield pd.DataFrame(rows, columns=["a", "b", "cosine", "same"]).astype({"cosine": "float64", "same": "float64"})
 
@@ -355,7 +379,8 @@ def cross_split_links(df: DataFrame, id_col: str, text_col: str, split_col: str,
 
     Returns links (a, b, cosine, same) -- ``a`` a class with evaluation rows, ``b`` one with
     training rows, ``a = b`` for copies -- and members (k, id, side, label, origin) of the linked
-    classes. ``same`` is the share of the longer text's words that stand in the other in order.
+    classes. ``cosine`` is weighted; ``same`` is the share of the longer text's words that stand in
+    the other in order.
     Null, empty and wordless texts and rows of other splits take part in nothing; repeated rows
     are members twice; columns other than those named are not read. An empty side gives no links.
     """
@@ -381,7 +406,7 @@ def cross_split_links(df: DataFrame, id_col: str, text_col: str, split_col: str,
     a = texts.where("is_eval = 1").select(F.col("short").alias("eval_class"), F.col("k").alias("a"), F.col("words").alias("a_words"))
     b = texts.where("is_train = 1").select(F.col("short").alias("train_class"), F.col("k").alias("b"), F.col("words").alias("b_words"))
     scored = pairs.join(a, "eval_class").join(b, "train_class").select("a", "b", "a_words", "b_words")
-    links = map_pandas(scored, _score, "a string, b string, cosine double, same double")
+    links = map_pandas(scored, partial(_score, table=table), "a string, b string, cosine double, same double")
     return checkpointed(links.distinct()), members.select("k", "id", "side", "label", "origin")
 
 
