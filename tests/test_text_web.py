@@ -93,3 +93,13 @@ def test_distinct_ignoring_case_keeps_the_first(spark):
 def test_token_pattern_is_ascii(spark):
     text = "K ſ İ x"
     assert one(spark, T.tokens(F.col("x")), text) == re.findall("[a-z0-9]+", text.lower())
+
+
+def test_comments_scripts_entities_and_bare_links(spark):
+    page = """<!-- <h1>old</h1> <a href="/c"> --><script>var a = '<a href="/s"><p>a text of a script, long enough</p>';</script><h1 class=x>Rest &amp; sleep</h1>
+<p>More than twenty letters &lt;here&gt; in a row</p><a class="b" href=/bare>x</a><a data-href="/no" href='/q?a=1&amp;b=2'>y</a><A HREF="mailto:a@b">m</A>"""
+    row = spark.createDataFrame([(page, "https://a.example/d/")], "h string, u string").select(
+        U.html_title(F.col("h"), F.col("u")).alias("t"), U.html_paragraphs(F.col("h")).alias("p"), U.html_links(F.col("h")).alias("l"), U.first_links(F.col("h"), F.col("u"), 1).alias("f")
+    ).first()
+    assert row["t"] == "Rest & sleep" and row["p"] == ["More than twenty letters <here> in a row"]
+    assert row["l"] == ["/bare", "/q?a=1&b=2"] and row["f"] == ["https://a.example/bare"]

@@ -63,8 +63,25 @@ def followable(host_ok: Column, url: Column, depth: Column, max_depth: int = 3,
     return host_ok & (depth >= 0) & (depth < max_depth) & (slashes <= max_slashes) & ~blocked(url)
 
 
+# The entities that are put back, the ampersand last.
+ENTITIES = (("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&apos;", "'"), ("&amp;", "&"))
+
+
+def unescaped(c: Column) -> Column:
+    for name, sign in ENTITIES:
+        c = F.replace(c, F.lit(name), F.lit(sign))
+    return c
+
+
+def visible(html: Column) -> Column:
+    """Markup without comments, scripts and styles, whose text is none of the page's."""
+    return F.regexp_replace(html, r"(?is)<!--.*?-->|<(script|style|noscript)\b.*?</\1\s*>", "")
+
+
 def html_title(html: Column, url: Column) -> Column:
-    h1, t = (F.nullif(collapse_white(F.regexp_extract(html, p, 1)), F.lit("")) for p in (r"(?is)<h1[^>]*>([^<]*)", r"(?is)<title[^>]*>([^<]*)"))
+    """The first heading's text, else the title's, else a stand-in with the URL."""
+    shown = visible(html)
+    h1, t = (F.nullif(collapse_white(unescaped(F.regexp_extract(shown, p, 1))), F.lit("")) for p in (r"(?is)<h1\b[^>]*>([^<]*)", r"(?is)<title\b[^>]*>([^<]*)"))
     return F.coalesce(h1, t, F.concat(F.lit("Crawled Page: "), url))
 
 
@@ -90,14 +107,14 @@ def html_date(html: Column) -> Column:
 
 def html_paragraphs(html: Column, least: int = 20) -> Column:
     """Direct text of the paragraphs that is longer than ``least`` characters."""
-    found = F.regexp_extract_all(html, F.lit(r"(?is)<p(?:\s[^>]*)?>([^<]*)"), F.lit(1))
-    return F.filter(F.transform(found, lambda x: collapse_white(x)), lambda x: F.length(x) > least)
+    found = F.regexp_extract_all(visible(html), F.lit(r"(?is)<p(?:\s[^>]*)?>([^<]*)"), F.lit(1))
+    return F.filter(F.transform(found, lambda x: collapse_white(unescaped(x))), lambda x: F.length(x) > least)
 
 
 def html_links(html: Column) -> Column:
-    """href values of anchors in order, without mail and script links."""
-    found = F.regexp_extract_all(html, F.lit(r"(?is)<a\s[^>]*?href\s*=\s*[\"']([^\"']+)"), F.lit(1))
-    return F.filter(found, lambda x: ~F.lower(x).rlike("^(mailto|javascript):"))
+    """href values of anchors in order, quoted or not, without mail and script links."""
+    found = F.regexp_extract_all(visible(html), F.lit(r"(?is)<a\s(?:[^>]*?\s)?href\s*=\s*(\"[^\"]+\"|'[^']+'|[^\s\"'>]+)"), F.lit(1))
+    return F.filter(F.transform(found, lambda x: unescaped(F.trim(x, F.lit("\"'")))), lambda x: ~F.lower(x).rlike("^(mailto|javascript):"))
 
 
 def first_links(html: Column, url: Column, most: int = 25) -> Column:
