@@ -97,6 +97,8 @@ def _score(it, block, k: int, average: dict[str, float]):
             ids, prior, rest = pdf["doc_id"].to_numpy(), pdf["prior"].to_numpy(float), pdf["rest"].to_numpy(bool)
             for side, (start, query, weight) in sides.items():
                 at = np.flatnonzero(rest[rows]) if side == "rest" else np.arange(len(rows))
+                if not len(at):
+                    continue
                 r, c, tf = rows[at], cols[at], tfs[at]
                 value = tf * (K1 + 1) / (tf + K1 * (1 - B + B * size[r] / average[side]))
                 many = start[c + 1] - start[c]
